@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cartlake.functions.names import clean_names
 from cartlake.operators.columns import sanitize_columns, stamp_ingested
 from cartlake.sources.csv import read_csv_inferred, read_csv_typed, split_corrupt
 from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
@@ -59,8 +60,9 @@ def load(
         rows = write_table(stamp_ingested(good), target, mode="append")
         if seen.get["corrupt"]:
             ensure_namespace(spark, layers.dlq, layers.location)
-            # The raw text says it all; the cells of a broken record are not to be trusted.
-            bad = split_corrupt(raw)[1].select(CORRUPT_RECORD)
+            # Cells as far as they could be read, next to the raw text.
+            bad = split_corrupt(raw)[1]
+            bad = bad.toDF(*clean_names(bad.columns[:-1]), CORRUPT_RECORD)
             rejected = write_dlq(bad, f"{layers.dlq}.{spec.name}_rejected", MALFORMED_RECORD)
     if files is not None:
         files.write.mode("append").saveAsTable(_file_log(layers))

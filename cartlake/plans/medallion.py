@@ -103,12 +103,19 @@ def run_gold(
     names: dict[str, str] | None = None,
     first: dt.date = gold.FIRST_DATE,
     last: dt.date = gold.LAST_DATE,
+    workers: int = 4,
 ) -> dict[str, int]:
     ensure_namespace(spark, layers.ops, layers.location)
     audit = audit_table(layers)
     try:
         return gold.build(
-            spark, layers, names, first, last, lambda name, rows: record_run(spark, audit, "gold", name, rows)
+            spark,
+            layers,
+            names,
+            first,
+            last,
+            on_written=lambda name, rows: record_run(spark, audit, "gold", name, rows),
+            workers=workers,
         )
     except Exception as error:
         record_run(spark, audit, "gold", GOLD_BATCH, 0, FAILED, message=str(error)[:1000])
@@ -134,6 +141,6 @@ def run(
     """
     run_bronze(spark, raw_root, specs, layers, skip_loaded, workers)
     run_silver(spark, specs, layers, limits, workers)
-    rows = run_gold(spark, layers, names, first, last)
+    rows = run_gold(spark, layers, names, first, last, workers)
     publish_views(spark, layers)
     return rows

@@ -30,8 +30,12 @@ def record_run(
     if status not in (SUCCESS, FAILED, PARTIAL):
         raise ValueError(f"unknown status {status!r}")
     now = dt.datetime.now(dt.timezone.utc)
-    row = (layer, table, now, rows, status, rejected, message)
-    spark.createDataFrame([row], SCHEMA).write.mode("append").saveAsTable(audit_table)
+    values = (layer, table, now, rows, status, rejected, message)
+    types = spark.createDataFrame([], SCHEMA).schema.fields
+    record = spark.range(0, 1, 1, 1).select(
+        *(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, types, strict=True))
+    )
+    record.write.mode("append").saveAsTable(audit_table)
 
 
 def load_runs(spark: SparkSession, audit_table: str) -> DataFrame:

@@ -29,11 +29,11 @@ def read_csv_typed(
     types: Mapping[str, T.DataType],
     multi_line: bool = False,
 ) -> DataFrame:
-    """Headered CSV with declared types, and the raw text of unreadable records.
+    """Headered CSV with declared types, and the text of unreadable records.
 
     Types are declared by cleaned column name, in any order; other columns are strings.
-    Records with a cell that does not fit, or with missing or extra cells, keep their raw
-    text in ``_corrupt_record``.
+    A record with a cell that does not fit its type, or with missing or extra cells, has
+    its text in ``_corrupt_record`` and NULL in the cells that do not fit.
     """
     # Only the header line is read here: without inference all columns are strings.
     header = _reader(spark, multi_line).csv(path).columns
@@ -41,17 +41,26 @@ def read_csv_typed(
     absent = sorted(set(declared) - {clean_name(n) for n in header})
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
-    fields = [T.StructField(n, declared.get(clean_name(n), T.StringType())) for n in header]
-    schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
-    return (
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*header, CORRUPT_RECORD]])
+    raw = (
         _reader(spark, multi_line)
-        .schema(schema)
+        .schema(text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        # Every cell is checked whatever columns a query uses, so the split is the same.
+        # Cells are counted whatever columns a query uses.
         .option("columnPruning", False)
         .csv(path)
     )
+    # The reader would convert, and so check, only the columns that a query uses. Casting
+    # here makes the split the same for every query.
+    cells = {n: F.col(f"`{n}`") for n in header}
+    typed = {n: c.try_cast(declared[clean_name(n)]) if clean_name(n) in declared else c for n, c in cells.items()}
+    misfit = F.lit(False)
+    for n in header:
+        if not isinstance(declared.get(clean_name(n), T.StringType()), T.StringType):
+            misfit |= cells[n].isNotNull() & typed[n].isNull()
+    corrupt = F.coalesce(F.col(CORRUPT_RECORD), F.when(misfit, F.to_csv(F.struct(*cells.values()))))
+    return raw.select(*(c.alias(n) for n, c in typed.items()), corrupt.alias(CORRUPT_RECORD))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
