@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlake.operators.columns import empty_like, require_columns
-from cartlake.operators.joins import REPORTED_KEYS, SLICE_ROWS, HeavyKey, spread_join
+from cartlake.operators.joins import SLICE_ROWS, SPREAD_KEYS, HeavyKey, spread_join
 from cartlake.operators.nulls import any_null
 from cartlake.sources.scratch import materialize
 from cartlake.specs import INGESTED_AT
@@ -106,6 +106,10 @@ class KeyProfile:
     surplus: int
     heavy: list[HeavyKey] = field(default_factory=list)
 
+    @property
+    def repeated_rows(self) -> int:
+        return self.surplus + self.n_repeated
+
     @property
     def duplicate_ratio(self) -> float:
         return self.surplus / self.rows if self.rows else 0.0
@@ -128,7 +132,7 @@ def profile_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROW
     repeated, stats = materialize(counts, "repeated-keys", seen, keep=F.col("n_rows") > 1)
     heavy = []
     if stats["n_repeated"]:
-        top = repeated.where(F.col("n_rows") > slice_rows).orderBy(F.desc("n_rows")).limit(REPORTED_KEYS)
+        top = repeated.where(F.col("n_rows") > slice_rows).orderBy(F.desc("n_rows")).limit(SPREAD_KEYS)
         found = top.select(F.xxhash64(*keys).alias("k"), "n_rows").collect()
         heavy = [HeavyKey(r.k, -(-r.n_rows // slice_rows)) for r in found]
     return KeyProfile(
@@ -152,8 +156,8 @@ def split_duplicates(
     ``rejects="copies"`` rejects every surplus row, so the two counts add up to the
     input. ``rejects="set"`` rejects the distinct rows that differ from the survivors.
 
-    With a ``profile`` only the rows of repeated keys are compared: a table without
-    repeated keys passes through as it is, without any wide shuffle.
+    With a ``profile`` of the same rows only those of repeated keys are compared: a table
+    without repeated keys passes through as it is, without any wide shuffle.
     """
     if rejects not in ("copies", "set"):
         raise ValueError(f"rejects must be 'copies' or 'set', not {rejects!r}")
@@ -161,11 +165,12 @@ def split_duplicates(
         return df, empty_like(df)
     require_columns(df, keys)
     distinct = rejects == "set"
-    if profile is None:
+    if profile is not None and not profile.n_repeated:
+        return df, empty_like(df)
+    # Singling out the rows of repeated keys pays while they are the smaller part.
+    if profile is None or 2 * profile.repeated_rows > profile.rows:
         valid = survivors(df, keys)
         return valid, surplus_rows(df, valid, distinct)
-    if not profile.n_repeated:
-        return df, empty_like(df)
     marks = profile.repeated.select(*keys)
     involved = spread_join(df, marks, keys, "left_semi", profile.heavy, null_safe=True)
     kept = survivors(involved, keys)

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single task may take.
 SLICE_ROWS = 1_000_000
-# Keys a frequency sketch tracks and reports: any key above 1/6000 of the rows is found.
+# Keys a frequency sketch follows, and those it reports. The tasks of a scan share out
+# over lanes with one sketch each, so a fixed number of keys is left to add up.
 TRACKED_KEYS = 8192
-REPORTED_KEYS = 1000
-# First merge of the per-task sketches, so the last one reads a fixed number of them.
-MERGE_LANES = 512
+REPORTED_KEYS = 4000
+LANES = 512
+# Heavy keys that are spread, the largest first.
+SPREAD_KEYS = 1000
 
 _HASH, _SLICE, _SLICES = "__key_hash", "__slice", "__slices"
 
@@ -31,20 +33,19 @@ class HeavyKey(NamedTuple):
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> list[HeavyKey]:
-    """Keys of ``df`` with more than ``slice_rows`` rows, at most ``REPORTED_KEYS`` of them.
+    """Keys of ``df`` with more than ``slice_rows`` rows, the ``SPREAD_KEYS`` largest.
 
-    Runs one job over the key columns: a mergeable frequency sketch per task, no
-    shuffle of rows. Sketch counts only steer how rows are spread, never which rows match.
+    One job over the key columns of all rows, with no shuffle of rows: each task keeps a
+    frequency sketch. A key with 1/2000 of the rows is sure to be found. The counts only
+    steer how rows are spread, never which rows match.
     """
-    sketched = (
-        df.select(F.xxhash64(*on).alias("k"), F.pmod(F.spark_partition_id(), F.lit(MERGE_LANES)).alias("lane"))
+    per_lane = (
+        df.select(F.xxhash64(*on).alias("k"), F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane"))
         .groupBy("lane")
-        .agg(F.expr(f"approx_top_k_accumulate(k, {TRACKED_KEYS})").alias("sketch"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
-        .select(F.expr(f"inline(approx_top_k_estimate(sketch, {REPORTED_KEYS}))"))
-        .toDF("k", "n")
+        .agg(F.expr(f"approx_top_k(k, {REPORTED_KEYS}, {TRACKED_KEYS})").alias("top"))
     )
-    found = sketched.where(F.col("n") > slice_rows).collect()
+    counts = per_lane.select(F.inline("top")).toDF("k", "n").groupBy("k").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") > slice_rows).orderBy(F.desc("n"), "k").limit(SPREAD_KEYS).collect()
     return [HeavyKey(r.k, -(-r.n // slice_rows)) for r in found]
 
 
@@ -79,7 +80,7 @@ def spread_join(
 
 
 def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: Sequence[HeavyKey]):
-    # At most REPORTED_KEYS rows of two integers, so the broadcast has a fixed bound.
+    # At most SPREAD_KEYS rows of two integers, so the broadcast has a fixed bound.
     plan = F.broadcast(
         left.sparkSession.createDataFrame([tuple(h) for h in heavy], f"{_HASH} bigint, {_SLICES} int")
     )

@@ -63,7 +63,7 @@ def load(
             # Cells as far as they could be read, next to the raw text.
             bad = split_corrupt(raw)[1]
             bad = bad.toDF(*clean_names(bad.columns[:-1]), CORRUPT_RECORD)
-            rejected = write_dlq(bad, f"{layers.dlq}.{spec.name}_rejected", MALFORMED_RECORD)
+            rejected = write_dlq(bad, f"{layers.dlq}.{spec.name}_rejected", MALFORMED_RECORD, some=True)
     if files is not None:
         files.write.mode("append").saveAsTable(_file_log(layers))
     return Loaded(rows, rejected)

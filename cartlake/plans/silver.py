@@ -94,7 +94,8 @@ def load(
     rejected = 0
     if rejects is not None:
         ensure_namespace(spark, layers.dlq, layers.location)
-        rejected = write_dlq(rejects, f"{layers.dlq}.{spec.name}_rejected")
+        some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
+        rejected = write_dlq(rejects, f"{layers.dlq}.{spec.name}_rejected", some=some)
     ensure_namespace(spark, layers.silver, layers.location)
     rows = write_table(valid, f"{layers.silver}.{spec.name}", partition_by=spec.partition_by)
     return Loaded(rows, rejected, tuple(breaches))

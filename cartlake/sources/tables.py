@@ -84,16 +84,17 @@ def dlq_records(rejects: DataFrame, reason: str | None = None) -> DataFrame:
     return rejects.withColumn(DLQ_TIMESTAMP, F.current_timestamp())
 
 
-def write_dlq(rejects: DataFrame, table: str, reason: str | None = None) -> int:
+def write_dlq(rejects: DataFrame, table: str, reason: str | None = None, some: bool = False) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
     Columns the table does not have yet are added to it; columns the rows lack are NULL.
-    A failure raises: rejects are not lost silently. Without rejects no table is made.
+    A failure raises: rejects are not lost silently. Without rejects no table is made;
+    ``some`` says that there are rejects, which saves looking for a first one.
     """
     spark = rejects.sparkSession
     records = dlq_records(rejects, reason)
     if not spark.catalog.tableExists(table):
-        return 0 if rejects.isEmpty() else write_table(records, table, mode="append")
+        return write_table(records, table, mode="append") if some or not rejects.isEmpty() else 0
     have = spark.table(table).schema
     new = [f for f in records.schema.fields if f.name not in have.names]
     if new:

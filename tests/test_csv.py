@@ -1,0 +1,100 @@
+import datetime as dt
+import decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import types as T
+
+from cartlake.sources.csv import (
+    RawFilesError,
+    raw_line_audit,
+    read_csv_inferred,
+    read_csv_typed,
+    split_corrupt,
+    verify_raw_files,
+)
+from cartlake.specs import MONEY
+
+TYPES = {"zip": T.StringType(), "n": T.IntegerType(), "price": MONEY, "at": T.TimestampType()}
+
+
+def put(folder, name, text):
+    path = folder / name
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_typed_cells_and_quotes(spark, tmp_path):
+    path = put(
+        tmp_path,
+        "a.csv",
+        'Zip,note,N,price,at\n"01037","say ""hi"", ok",3,12.50,2017-10-02 10:56:33\n00002,,,,\n',
+    )
+    good, bad = split_corrupt(read_csv_typed(spark, path, TYPES))
+    assert good.columns == ["Zip", "note", "N", "price", "at"]
+    assert rows(good) == [
+        ("00002", None, None, None, None),
+        ("01037", 'say "hi", ok', 3, decimal.Decimal("12.50"), dt.datetime(2017, 10, 2, 10, 56, 33)),
+    ]
+    assert bad.count() == 0
+
+
+def test_corrupt_records(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "zip,n,price,at\n1,2,3.00,\n2,two,3.00,\n3,4\n4,5,6.00,,more\n")
+    df = read_csv_typed(spark, path, TYPES)
+    good, bad = split_corrupt(df)
+    assert rows(good, "zip", "n") == [("1", 2)]
+    # The same split whatever columns a query uses.
+    assert good.count() == 1 and bad.count() == 3
+    assert rows(good, "zip") == [("1",)]
+    assert rows(bad, "_corrupt_record") == [("2,two,3.00,",), ("3,4",), ("4,5,6.00,,more",)]
+
+
+def test_declared_column_must_exist(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "zip,n\n1,2\n")
+    with pytest.raises(ValueError, match="at, price"):
+        read_csv_typed(spark, path, TYPES)
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    path = put(tmp_path, "a.csv", 'id,text,n\n1,"two\nlines",5\n2,one,6\n')
+    types = {"id": T.IntegerType(), "n": T.IntegerType()}
+    good, bad = split_corrupt(read_csv_typed(spark, path, types, multi_line=True))
+    assert rows(good) == [(1, "two\nlines", 5), (2, "one", 6)] and bad.count() == 0
+    good, bad = split_corrupt(read_csv_typed(spark, path, types))
+    assert rows(good) == [(2, "one", 6)] and bad.count() == 2
+
+
+def test_inferred_types(spark, tmp_path):
+    path = put(tmp_path, "a.csv", 'zip,price,at\n"01037",1.5,2017-10-02 10:56:33\n')
+    df = read_csv_inferred(spark, path)
+    assert [f.dataType.simpleString() for f in df.schema] == ["int", "double", "timestamp"]
+    assert df.first().zip == 1037
+
+
+@pytest.fixture
+def raw(tmp_path):
+    put(tmp_path, "a.csv", "h\n1\n2\n")
+    put(tmp_path, "b.csv", 'h\n"x\ny"\n')
+    parts = tmp_path / "c.csv"
+    parts.mkdir()
+    put(parts, "part-0", "1\n2\n")
+    put(parts, "part-1", "3\n")
+    return str(tmp_path)
+
+
+def test_line_audit(spark, raw):
+    wanted = spark.createDataFrame([("a.csv", 3), ("b.csv", 2), ("c.csv", 3), ("d.csv", 1)], "source string, expected_lines int")
+    report = raw_line_audit(spark, raw, wanted)
+    assert rows(report, "source", "actual_lines", "status") == [
+        ("a.csv", 3, "OK"),
+        ("b.csv", 3, "MISMATCH"),
+        ("c.csv", 3, "OK"),
+        ("d.csv", None, "MISSING"),
+    ]
+
+
+def test_verify_raises(spark, raw):
+    assert verify_raw_files(spark, "file:" + raw, {"a.csv": 3}).count() == 1
+    with pytest.raises(RawFilesError, match="b.csv: MISMATCH, 3 of 2 lines; d.csv: MISSING"):
+        verify_raw_files(spark, raw, {"a.csv": 3, "b.csv": 2, "d.csv": 9})
