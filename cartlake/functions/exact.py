@@ -1,24 +1,33 @@
 """Sums and means that do not depend on the order in which rows arrive.
 
-Adding doubles gives different last digits under different partitionings. The
-values are added as decimals instead and turned into a double once, at the end.
+Adding doubles gives different last digits under different partitionings. The values are
+added as decimals instead and turned into a double once, at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _decimal(col: str | Column, precision: int, scale: int) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).try_cast(f"decimal({precision},{scale})")
+def exact(df: DataFrame, name: str, scale: int = 10) -> Column:
+    """The column as a type that adds up exactly.
 
+    Integers and decimals stay as they are. Doubles are taken by their shortest decimal
+    form, to ``scale`` places. What is no number, NaN and infinity included, is NULL and so
+    takes no part.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.col(name)
+    return F.col(name).try_cast(T.DecimalType(28, scale))
 
-def exact_sum(col: str | Column, scale: int = 2, precision: int = 18) -> Column:
-    """Decimal sum; roll it up further with ``sum`` and cast to double last."""
-    return F.sum(_decimal(col, precision, scale))
 
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """Exact sum; roll it up further with ``sum`` and cast it to double last."""
+    return F.sum(exact(df, name))
 
-def exact_mean(col: str | Column, scale: int = 2, precision: int = 18) -> Column:
-    value = _decimal(col, precision, scale)
-    return F.sum(value).cast("double") / F.count(value)
+
+def exact_mean(df: DataFrame, name: str) -> Column:
+    return F.sum(exact(df, name)).cast("double") / F.nullif(F.count(exact(df, name)), F.lit(0))

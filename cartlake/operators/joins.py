@@ -86,7 +86,7 @@ def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: Sequence[He
     )
     # The partition id tells identical rows of different input splits apart and is the
     # same when a lost task runs again.
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.col(_SLICES)).cast("int")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(left)), F.col(_SLICES)).cast("int")
     left = (
         left.withColumn(_HASH, F.xxhash64(*on))
         .join(plan, _HASH, "left")
@@ -100,3 +100,8 @@ def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: Sequence[He
         .drop(_HASH, _SLICES)
     )
     return left, right
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    # Maps cannot be hashed, wherever they are in a type.
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.functions.dates import is_weekend
-from cartlake.functions.exact import exact_mean
+from cartlake.functions.exact import exact, exact_mean
 from cartlake.operators.columns import stamp_updated
 from cartlake.operators.joins import HeavyKey, heavy_keys, spread_join
 from cartlake.sources.tables import ensure_namespace, write_table
@@ -77,8 +77,8 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     are compared, so no task holds all the rows of a prefix.
     """
     zip_, city, state = F.col("geolocation_zip_code_prefix"), F.col("geolocation_city"), F.col("geolocation_state")
-    # Enough places for all the digits of a coordinate, see functions.exact.
-    lat, lng = (F.col(c).try_cast("decimal(28,15)") for c in ("geolocation_lat", "geolocation_lng"))
+    # Fifteen places hold all the digits of a coordinate.
+    lat, lng = (exact(geolocation, c, scale=15) for c in ("geolocation_lat", "geolocation_lng"))
     places = geolocation.select(
         zip_.alias("zip"), city.alias("city"), state.alias("state"), lat.alias("lat"), lng.alias("lng")
     )
@@ -138,7 +138,7 @@ def dim_dates(spark: SparkSession, first: dt.date = FIRST_DATE, last: dt.date =
 
 def review_scores(reviews: DataFrame) -> DataFrame:
     """Mean review score per order, so that joining it does not multiply rows."""
-    return reviews.groupBy("order_id").agg(exact_mean("review_score").alias("avg_review_score"))
+    return reviews.groupBy("order_id").agg(exact_mean(reviews, "review_score").alias("avg_review_score"))
 
 
 def fact_order_payments(orders: DataFrame, payments: DataFrame, heavy: Sequence[HeavyKey] = ()) -> DataFrame:

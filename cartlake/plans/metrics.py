@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlake.functions.dates import month_start
-from cartlake.functions.exact import exact_sum
+from cartlake.functions.exact import exact, exact_sum
 from cartlake.plans.gold import Star
 
 
@@ -25,7 +25,7 @@ def _top(df: DataFrame, metric: str, key: str, n: int) -> DataFrame:
 
 
 def _revenue_by(sales: DataFrame, dimension: DataFrame, key: str, group: str) -> DataFrame:
-    per_key = sales.groupBy(key).agg(exact_sum("price").alias("revenue"))
+    per_key = sales.groupBy(key).agg(exact_sum(sales, "price").alias("revenue"))
     return (
         per_key.join(dimension.select(key, group), key, "left")
         .groupBy(group)
@@ -34,7 +34,8 @@ def _revenue_by(sales: DataFrame, dimension: DataFrame, key: str, group: str) ->
 
 
 def kpi_revenue(star: Star) -> DataFrame:
-    return star.fact_order_sales.agg(exact_sum("price").cast("double").alias("revenue"))
+    sales = star.fact_order_sales
+    return sales.agg(exact_sum(sales, "price").cast("double").alias("revenue"))
 
 
 def kpi_orders(star: Star) -> DataFrame:
@@ -63,8 +64,10 @@ def top_seller_cities(star: Star, n: int = 10) -> DataFrame:
 
 def freight_by_state(star: Star, n: int = 15) -> DataFrame:
     """Mean freight per item, by state of the customer."""
-    per_customer = star.fact_order_sales.groupBy("customer_id").agg(
-        exact_sum("freight_value").alias("freight"), F.count("freight_value").alias("items")
+    sales = star.fact_order_sales
+    per_customer = sales.groupBy("customer_id").agg(
+        exact_sum(sales, "freight_value").alias("freight"),
+        F.count(exact(sales, "freight_value")).alias("items"),
     )
     mean = _as_double("freight") / F.nullif(F.sum("items"), F.lit(0))
     by_state = (
@@ -76,12 +79,10 @@ def freight_by_state(star: Star, n: int = 15) -> DataFrame:
 
 
 def monthly_revenue(star: Star) -> DataFrame:
+    sales = star.fact_order_sales
     month = month_start("order_purchase_timestamp").alias("month_start")
-    return (
-        star.fact_order_sales.groupBy(month)
-        .agg(exact_sum("price").cast("double").alias("revenue"))
-        .orderBy("month_start")
-    )
+    revenue = exact_sum(sales, "price").cast("double").alias("revenue")
+    return sales.groupBy(month).agg(revenue).orderBy("month_start")
 
 
 def order_status_share(star: Star) -> DataFrame:
@@ -121,8 +122,9 @@ def delivery_performance(star: Star) -> DataFrame:
 
 def sales_by_calendar(star: Star) -> DataFrame:
     """Revenue and items by year, quarter and weekend, over the days of the date dimension."""
-    per_day = star.fact_order_sales.groupBy(F.to_date("order_purchase_timestamp").alias("date_sk")).agg(
-        exact_sum("price").alias("revenue"), F.count(F.lit(1)).alias("items")
+    sales = star.fact_order_sales
+    per_day = sales.groupBy(F.to_date("order_purchase_timestamp").alias("date_sk")).agg(
+        exact_sum(sales, "price").alias("revenue"), F.count(F.lit(1)).alias("items")
     )
     days = star.dim_dates.select("date_sk", "year", "quarter", "is_weekend")
     return (

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartlake.operators.columns import with_partition_columns
+from cartlake.operators.joins import heavy_keys
 from cartlake.plans import gold
 
 # Covers all order dates of the test tables.
@@ -173,7 +174,10 @@ def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class StandInStar:
-    """The star schema over the test tables; a table is built when it is asked for."""
+    """The star schema over the test tables; a table is built when it is asked for.
+
+    ``items`` replace the raw order items; they must be some of them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, items: DataFrame | None = None):
         self._args = (spark, sf_dir)
@@ -204,9 +208,12 @@ class StandInStar:
 
     @cached_property
     def fact_order_payments(self) -> DataFrame:
-        return gold.fact_order_payments(dated_orders(*self._args), self._t("order_payments"))
+        payments = self._t("order_payments")
+        return gold.fact_order_payments(dated_orders(*self._args), payments, heavy_keys(payments, ["order_id"]))
 
     @cached_property
     def fact_order_sales(self) -> DataFrame:
-        items = self._t("order_items") if self._items is None else self._items
-        return gold.fact_order_sales(items, dated_orders(*self._args), self._t("order_reviews"))
+        raw = self._t("order_items")
+        items = raw if self._items is None else self._items
+        heavy = heavy_keys(raw, ["order_id"])
+        return gold.fact_order_sales(items, dated_orders(*self._args), self._t("order_reviews"), heavy)

@@ -107,7 +107,21 @@ def test_null_split_without_keys(spark):
 def test_exact_sums_do_not_depend_on_order(spark):
     values = [0.1, 0.2, 0.3, 1e9, -1e9, 0.7] * 50
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    seen = {
-        tuple(df.repartition(n).agg(exact_sum("x").cast("double"), exact_mean("x")).first()) for n in (1, 3, 7)
-    }
-    assert seen == {(65.0, 65.0 / 300)}
+
+    def totals(df):
+        return tuple(df.agg(exact_sum(df, "x").cast("double"), exact_mean(df, "x")).first())
+
+    assert {totals(df.repartition(n)) for n in (1, 3, 7)} == {(65.0, 65.0 / 300)}
+
+
+@pytest.mark.parametrize("kind, mean", [("int", 1.5), ("decimal(18,2)", 1.5), ("double", 1.5), ("string", 1.5)])
+def test_exact_mean_of_each_type(spark, kind, mean):
+    df = spark.sql("SELECT * FROM VALUES ('1'), ('2'), (NULL) AS t(x)").select(F.col("x").cast(kind))
+    assert df.agg(exact_mean(df, "x")).first()[0] == mean
+    empty = df.where("x IS NULL")
+    assert empty.agg(exact_mean(empty, "x")).first()[0] is None
+
+
+def test_exact_skips_what_is_no_number(spark):
+    text = spark.sql("SELECT * FROM VALUES ('1'), ('?'), ('2.125') AS t(x)")
+    assert text.agg(exact_sum(text, "x").cast("double"), exact_mean(text, "x")).first()[:] == (3.125, 3.125 / 2)
