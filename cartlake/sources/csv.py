@@ -76,13 +76,14 @@ def raw_line_audit(spark: SparkSession, root: str, expected: DataFrame) -> DataF
     files. ``status`` is OK, MISMATCH or MISSING.
     """
     base = root.rstrip("/").split("://")[-1].removeprefix("file:").lstrip("/")
-    below = F.regexp_extract(F.col("_metadata.file_path"), rf"\Q{base}\E/([^/]+)", 1)
-    lines = (
+    per_file = (
         spark.read.option("recursiveFileLookup", True)
         .text(root)
-        .groupBy(below.alias("source"))
-        .agg(F.count(F.lit(1)).alias("actual_lines"))
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    below = F.regexp_extract("path", rf"\Q{base}\E/([^/]+)", 1)
+    lines = per_file.groupBy(below.alias("source")).agg(F.sum("n").alias("actual_lines"))
     status = (
         F.when(F.col("actual_lines").isNull(), "MISSING")
         .when(F.col("actual_lines") == F.col("expected_lines"), "OK")

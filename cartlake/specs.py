@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
@@ -93,6 +94,29 @@ class QualityThresholds:
     fail_on_quality_error: bool = False
 
 
+def load_config(path: str) -> dict:
+    """A configuration file: JSON, or YAML where a YAML reader is installed."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as error:
+        raise ValueError(f"{path}: no YAML reader is installed, use JSON") from error
+    return yaml.safe_load(text)
+
+
+def load_specs(path: str) -> tuple[TableSpec, ...]:
+    """The entries below ``tables`` of a configuration file."""
+    return tuple(TableSpec.from_mapping(entry) for entry in load_config(path).get("tables") or ())
+
+
+def load_thresholds(path: str) -> QualityThresholds:
+    """The entries below ``quality`` of a configuration file."""
+    return QualityThresholds(**(load_config(path).get("quality") or {}))
+
+
 def _retail() -> tuple[TableSpec, ...]:
     s, i, d, ts = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
     return (

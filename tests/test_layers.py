@@ -7,10 +7,12 @@ from conftest import final_plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartlake import __main__ as command
 from cartlake.operators.duplicates import profile_keys
 from cartlake.operators.quality import QualityError
 from cartlake.plans import bronze, gold, medallion, metrics, silver, views
 from cartlake.sources.audit import latest_runs, load_runs
+from cartlake.sources.csv import RawFilesError
 from cartlake.specs import QualityThresholds, TableSpec, retail_specs
 
 ORDERS = TableSpec(
@@ -237,6 +239,21 @@ def test_whole_run(spark, layers, raw):
     assert rows(places, "seller_id", "seller_lat") == [("s1", -23.7), ("s2", -22.0)]
 
 
+def test_command_line(spark, raw, monkeypatch, tmp_path):
+    """The steps are called with what the command line says."""
+    calls = []
+    for step in ("run_bronze", "run_silver", "run_gold"):
+        monkeypatch.setattr(medallion, step, lambda *a, _s=step, **k: calls.append((_s, a[1:], k)))
+    monkeypatch.setattr(command, "publish_views", lambda s: calls.append(("publish_views", (), {})))
+    command.main(["all", raw, "--skip-loaded", "--input", "orders=o"])
+    assert [c[0] for c in calls] == ["run_bronze", "run_silver", "run_gold", "publish_views"]
+    assert calls[0][1][0] == raw and calls[0][2]["skip_loaded"] and calls[2][2]["names"] == {"orders": "o"}
+    with pytest.raises(RawFilesError, match="customers.csv: MISMATCH, 4 of 99442 lines"):
+        command.main(["verify", raw])
+    with pytest.raises(SystemExit):
+        command.main(["bronze"])
+
+
 def test_a_failed_table_fails_the_run_after_the_others(spark, layers, raw):
     specs = retail_specs({"customers": "absent.csv"})
     with pytest.raises(medallion.RunFailed, match="bronze: customers"):

@@ -1,6 +1,14 @@
 import pytest
 
-from cartlake.specs import RETAIL_LINE_COUNTS, RETAIL_TABLES, TableSpec, retail_specs
+from cartlake.specs import (
+    RETAIL_LINE_COUNTS,
+    RETAIL_TABLES,
+    QualityThresholds,
+    TableSpec,
+    load_specs,
+    load_thresholds,
+    retail_specs,
+)
 
 
 def test_from_mapping():
@@ -37,3 +45,15 @@ def test_retail_tables():
     assert all(set(t.keys) <= set(t.types) for t in RETAIL_TABLES)
     assert [t.name for t in RETAIL_TABLES if t.partition_by] == ["orders"]
     assert retail_specs({"orders": "o/*.csv"}, multi_line=False)[1].source == "o/*.csv"
+
+
+def test_config_files(tmp_path):
+    tables = tmp_path / "tables.json"
+    tables.write_text('{"tables": [{"name": "a", "source_file": "a.csv", "key_columns": ["k"]}]}')
+    assert load_specs(str(tables)) == (TableSpec("a", "a.csv", ("k",)),)
+    limits = tmp_path / "limits.json"
+    limits.write_text('{"quality": {"max_null_ratio": 0.5, "fail_on_quality_error": true}}')
+    assert load_thresholds(str(limits)) == QualityThresholds(0.5, 0.01, True)
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "t.yaml").write_text(yaml.safe_dump({"tables": [{"name": "a", "source_file": "a.csv"}]}))
+    assert load_specs(str(tmp_path / "t.yaml"))[0].name == "a"
