@@ -52,18 +52,19 @@ def load(
     target = f"{layers.bronze}.{spec.name}"
     rejected = 0
     if spec.types is None:
-        rows = write_table(stamp_ingested(sanitize_columns(raw)), target, mode="append")
+        rows = write_table(stamp_ingested(sanitize_columns(raw)), target, mode="append", file_format=layers.file_format)
     else:
         seen = Observation()
         counted = raw.observe(seen, F.count(CORRUPT_RECORD).alias("corrupt"))
         good = sanitize_columns(split_corrupt(counted)[0])
-        rows = write_table(stamp_ingested(good), target, mode="append")
+        rows = write_table(stamp_ingested(good), target, mode="append", file_format=layers.file_format)
         if seen.get["corrupt"]:
             ensure_namespace(spark, layers.dlq, layers.location)
             # Cells as far as they could be read, next to the raw text.
             bad = split_corrupt(raw)[1]
             bad = bad.toDF(*clean_names(bad.columns[:-1]), CORRUPT_RECORD)
-            rejected = write_dlq(bad, f"{layers.dlq}.{spec.name}_rejected", MALFORMED_RECORD, some=True)
+            dlq = f"{layers.dlq}.{spec.name}_rejected"
+            rejected = write_dlq(bad, dlq, MALFORMED_RECORD, some=True, file_format=layers.file_format)
     if files is not None:
         files.write.mode("append").saveAsTable(_file_log(layers))
     return Loaded(rows, rejected)

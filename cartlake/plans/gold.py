@@ -23,6 +23,37 @@ LAST_DATE = dt.date(2019, 12, 31)
 
 FACT_PARTITIONS = ("year", "month")
 
+# Columns taken over into the dimensions, and from orders into the facts.
+CUSTOMER_COLUMNS = (
+    "customer_id",
+    "customer_unique_id",
+    "customer_zip_code_prefix",
+    "customer_city",
+    "customer_state",
+)
+SELLER_COLUMNS = ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state")
+PRODUCT_MEASURES = (
+    "product_name_lenght",
+    "product_description_lenght",
+    "product_photos_qty",
+    "product_weight_g",
+    "product_length_cm",
+    "product_height_cm",
+    "product_width_cm",
+)
+PAID_ORDER_COLUMNS = ("order_id", "customer_id", "order_status", "order_purchase_timestamp", "year", "month")
+SOLD_ORDER_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "order_status",
+    "order_purchase_timestamp",
+    "order_approved_at",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+    "year",
+    "month",
+)
+
 
 class Star(NamedTuple):
     dim_customers: DataFrame
@@ -35,15 +66,11 @@ class Star(NamedTuple):
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:
-    return stamp_updated(
-        customers.select(
-            "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"
-        )
-    )
+    return stamp_updated(customers.select(*CUSTOMER_COLUMNS))
 
 
 def dim_sellers(sellers: DataFrame) -> DataFrame:
-    return stamp_updated(sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"))
+    return stamp_updated(sellers.select(*SELLER_COLUMNS))
 
 
 def dim_products(products: DataFrame, translation: DataFrame, coalesce_untranslated: bool = False) -> DataFrame:
@@ -55,19 +82,8 @@ def dim_products(products: DataFrame, translation: DataFrame, coalesce_untransla
     if coalesce_untranslated:
         english = F.coalesce(english, F.col("product_category_name"))
     names = translation.select("product_category_name", "product_category_name_english")
-    return stamp_updated(
-        products.join(names, "product_category_name", "left").select(
-            "product_id",
-            english.alias("product_category_name"),
-            "product_name_lenght",
-            "product_description_lenght",
-            "product_photos_qty",
-            "product_weight_g",
-            "product_length_cm",
-            "product_height_cm",
-            "product_width_cm",
-        )
-    )
+    named = products.join(names, "product_category_name", "left")
+    return stamp_updated(named.select("product_id", english.alias("product_category_name"), *PRODUCT_MEASURES))
 
 
 def dim_geolocation(geolocation: DataFrame) -> DataFrame:
@@ -143,7 +159,7 @@ def review_scores(reviews: DataFrame) -> DataFrame:
 
 def fact_order_payments(orders: DataFrame, payments: DataFrame, heavy: Sequence[HeavyKey] = ()) -> DataFrame:
     """One row per payment of a known order; ``heavy`` are order ids with very many payments."""
-    order = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp", "year", "month")
+    order = orders.select(*PAID_ORDER_COLUMNS)
     rest = [c for c in payments.columns if c != "order_id"]
     joined = spread_join(payments, order, ["order_id"], "inner", heavy)
     return stamp_updated(joined.select(*order.columns, *rest))
@@ -160,17 +176,7 @@ def fact_order_sales(
     Orders take their review score first: both sides have one row per order, and the items
     are then shuffled once, for a single join.
     """
-    order = orders.select(
-        "order_id",
-        "customer_id",
-        "order_status",
-        "order_purchase_timestamp",
-        "order_approved_at",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-        "year",
-        "month",
-    ).join(review_scores(reviews), "order_id", "left")
+    order = orders.select(*SOLD_ORDER_COLUMNS).join(review_scores(reviews), "order_id", "left")
     return stamp_updated(spread_join(items, order, ["order_id"], "inner", heavy))
 
 
@@ -218,7 +224,9 @@ def build(
     )
     def write(name: str) -> int:
         parts = FACT_PARTITIONS if name.startswith("fact_") else ()
-        return write_table(getattr(star, name), f"{layers.gold}.{name}", partition_by=parts)
+        return write_table(
+            getattr(star, name), f"{layers.gold}.{name}", partition_by=parts, file_format=layers.file_format
+        )
 
     rows = {}
     with ThreadPoolExecutor(max_workers=workers) as pool:

@@ -95,7 +95,9 @@ def load(
     if rejects is not None:
         ensure_namespace(spark, layers.dlq, layers.location)
         some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
-        rejected = write_dlq(rejects, f"{layers.dlq}.{spec.name}_rejected", some=some)
+        dlq = f"{layers.dlq}.{spec.name}_rejected"
+        rejected = write_dlq(rejects, dlq, some=some, file_format=layers.file_format)
     ensure_namespace(spark, layers.silver, layers.location)
-    rows = write_table(valid, f"{layers.silver}.{spec.name}", partition_by=spec.partition_by)
+    target = f"{layers.silver}.{spec.name}"
+    rows = write_table(valid, target, partition_by=spec.partition_by, file_format=layers.file_format)
     return Loaded(rows, rejected, tuple(breaches))

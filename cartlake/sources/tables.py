@@ -84,7 +84,13 @@ def dlq_records(rejects: DataFrame, reason: str | None = None) -> DataFrame:
     return rejects.withColumn(DLQ_TIMESTAMP, F.current_timestamp())
 
 
-def write_dlq(rejects: DataFrame, table: str, reason: str | None = None, some: bool = False) -> int:
+def write_dlq(
+    rejects: DataFrame,
+    table: str,
+    reason: str | None = None,
+    some: bool = False,
+    file_format: str = "parquet",
+) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
     Columns the table does not have yet are added to it; columns the rows lack are NULL.
@@ -94,7 +100,9 @@ def write_dlq(rejects: DataFrame, table: str, reason: str | None = None, some: b
     spark = rejects.sparkSession
     records = dlq_records(rejects, reason)
     if not spark.catalog.tableExists(table):
-        return write_table(records, table, mode="append") if some or not rejects.isEmpty() else 0
+        if not some and rejects.isEmpty():
+            return 0
+        return write_table(records, table, mode="append", file_format=file_format)
     have = spark.table(table).schema
     new = [f for f in records.schema.fields if f.name not in have.names]
     if new:
@@ -104,4 +112,4 @@ def write_dlq(rejects: DataFrame, table: str, reason: str | None = None, some: b
         F.col(f"`{f.name}`") if f.name in records.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema.fields
     ]
-    return write_table(records.select(*aligned), table, mode="append")
+    return write_table(records.select(*aligned), table, mode="append", file_format=file_format)

@@ -78,6 +78,8 @@ class Layers:
     bi: str = "bi"
     # Folder for new namespaces; None leaves the choice to the catalog's warehouse.
     location: str | None = None
+    # Table format of the layer tables.
+    file_format: str = "parquet"
 
     @classmethod
     def prefixed(cls, prefix: str, location: str | None = None) -> Layers:

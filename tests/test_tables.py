@@ -70,11 +70,17 @@ def test_partitions_hold_few_files(spark, name):
 
 def test_large_partitions_are_split(spark, conf, name):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4096")
-    wide = days(spark).crossJoin(spark.range(40)).repartition(8)
+    wide = days(spark).withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(40)))).repartition(8)
     write_table(wide.withColumn("pad", F.sha2(F.col("id").cast("string"), 256)), name, partition_by=("year",))
     assert spark.table(name).select("_metadata.file_path").distinct().count() > 2
 
 
+def test_other_file_formats(spark, name):
+    write_table(days(spark), name, partition_by=("year",), file_format="orc")
+    assert write_table(days(spark), name, mode="append", partition_by=("year",), file_format="orc") == 731
+    assert spark.table(name).count() == 1462
+
+
 def test_null_partition_reads_back(spark, name):
     df = with_partition_columns(spark.sql("SELECT cast(NULL AS timestamp_ntz) AS ts, 1 AS v"), "ts")
     write_table(df, name, partition_by=("year", "month"))
