@@ -25,7 +25,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("raw", nargs="?", help="folder of the raw files, for verify, bronze and all")
     parser.add_argument("--tables", help="file of table specs; the nine retail tables if left out")
     parser.add_argument("--quality", help="file of quality limits; no quality gate if left out")
-    parser.add_argument("--input", action="append", default=[], metavar="NAME=TABLE", help="silver table of a gold input")
+    parser.add_argument(
+        "--input", action="append", default=[], metavar="NAME=TABLE", help="silver table of a gold input"
+    )
     parser.add_argument("--first", type=dt.date.fromisoformat, default=gold.FIRST_DATE, help="first day of dim_dates")
     parser.add_argument("--last", type=dt.date.fromisoformat, default=gold.LAST_DATE, help="last day of dim_dates")
     parser.add_argument("--skip-loaded", action="store_true", help="leave out raw files loaded before")

@@ -52,11 +52,6 @@ def survivors(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys on more than one row, with their number of rows ``n_rows``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
-
-
 def surplus_rows(df: DataFrame, kept: DataFrame, distinct: bool = False) -> DataFrame:
     """Rows of ``df`` without one copy of each row of ``kept``.
 

@@ -22,7 +22,9 @@ def null_ratios(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         F.count(F.lit(1)).alias("total_rows"),
         *(F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)),
     )
-    each = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("null_rows")) for i, c in enumerate(columns)))
+    each = F.array(
+        *(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("null_rows")) for i, c in enumerate(columns))
+    )
     ratio = F.col("null_rows") / F.nullif(F.col("total_rows"), F.lit(0))
     return counts.select("total_rows", F.inline(each)).select(
         "column", "null_rows", "total_rows", F.coalesce(ratio, F.lit(0.0)).alias("null_ratio")

@@ -206,7 +206,7 @@ def build(
     """Build and replace all gold tables, several at a time; rows written by table name.
 
     ``names`` maps the inputs above to silver tables of other names. All silver tables
-    must exist before anything is written.
+    must exist before anything is written. If a table fails the others are finished first.
     """
     names = {n: n for n in SILVER_INPUTS} | (names or {})
     t = {n: spark.table(f"{layers.silver}.{names[n]}") for n in SILVER_INPUTS}
@@ -228,14 +228,20 @@ def build(
             getattr(star, name), f"{layers.gold}.{name}", partition_by=parts, file_format=layers.file_format
         )
 
-    rows = {}
+    rows: dict[str, int] = {}
+    failures: list[Exception] = []
     with ThreadPoolExecutor(max_workers=workers) as pool:
         # The facts take longest, so they start first.
         tasks = {pool.submit(write, name): name for name in reversed(Star._fields)}
         for task in as_completed(tasks):
             name = tasks[task]
+            if error := task.exception():
+                failures.append(error)
+                continue
             rows[name] = task.result()
             on_written(name, rows[name])
+    if failures:
+        raise failures[0]
     return rows
 
 

@@ -30,7 +30,6 @@ from cartlake.sources.scratch import scratch_path, scratch_root
 from cartlake.sources.tables import dlq_records, ensure_namespace, write_dlq, write_table
 from cartlake.specs import (
     CORRUPT_RECORD,
-    DLQ_REASON,
     DLQ_TIMESTAMP,
     INGESTED_AT,
     MONEY,
@@ -107,7 +106,8 @@ def csv_corrupt_rows(spark, sf_dir):
         "o_orderpriority",
     ).write.csv(path, header=True, escape='"')
     types = {"o_orderkey": T.LongType(), "o_custkey": T.LongType(), "o_orderpriority": T.StringType()}
-    return split_corrupt(read_csv_typed(spark, path, types))[1].select("o_orderkey", F.col(CORRUPT_RECORD).alias("record"))
+    corrupt = split_corrupt(read_csv_typed(spark, path, types))[1]
+    return corrupt.select("o_orderkey", F.col(CORRUPT_RECORD).alias("record"))
 
 
 @_register

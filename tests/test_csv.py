@@ -84,7 +84,8 @@ def raw(tmp_path):
 
 
 def test_line_audit(spark, raw):
-    wanted = spark.createDataFrame([("a.csv", 3), ("b.csv", 2), ("c.csv", 3), ("d.csv", 1)], "source string, expected_lines int")
+    counts = [("a.csv", 3), ("b.csv", 2), ("c.csv", 3), ("d.csv", 1)]
+    wanted = spark.createDataFrame(counts, "source string, expected_lines int")
     report = raw_line_audit(spark, raw, wanted)
     assert rows(report, "source", "actual_lines", "status") == [
         ("a.csv", 3, "OK"),

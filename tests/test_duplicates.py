@@ -64,9 +64,10 @@ def test_all_columns_are_keys(spark):
 
 
 def test_newest_load_wins(spark):
-    df = spark.createDataFrame(
-        [("A", 1, "2024-01-01"), ("A", 9, "2024-01-02"), ("B", 5, "2024-01-01")], f"k string, v int, {INGESTED_AT} string"
-    ).withColumn(INGESTED_AT, F.to_timestamp(INGESTED_AT))
+    data = [("A", 1, "2024-01-01"), ("A", 9, "2024-01-02"), ("B", 5, "2024-01-01")]
+    df = spark.createDataFrame(data, f"k string, v int, {INGESTED_AT} string").withColumn(
+        INGESTED_AT, F.to_timestamp(INGESTED_AT)
+    )
     valid, rejects = split_duplicates(df, ["k"])
     assert rows(valid, "k", "v") == [("A", 9), ("B", 5)]
     assert rows(rejects, "k", "v") == [("A", 1)]

@@ -77,5 +77,6 @@ def test_plain_plan_without_heavy_keys(sides):
 
 def test_map_columns_are_carried_along(spark):
     left = spark.range(100, numPartitions=4).selectExpr("1 AS k", "map('id', id) AS m")
-    joined = spread_join(left, spark.sql("SELECT 1 AS k, 2 AS w"), ["k"], "inner", heavy_keys(left, ["k"], slice_rows=9))
+    right = spark.sql("SELECT 1 AS k, 2 AS w")
+    joined = spread_join(left, right, ["k"], "inner", heavy_keys(left, ["k"], slice_rows=9))
     assert sorted(r.m["id"] for r in joined.collect()) == list(range(100))

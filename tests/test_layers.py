@@ -218,7 +218,9 @@ def test_whole_run(spark, layers, raw):
     assert tuple(sales.columns) == views.MASTER_SALES_COLUMNS
     star = gold.read_star(spark, layers)
     assert rows(sales) == rows(views.master_sales(star))
-    picked = sales.select("order_id", "price", "avg_review_score", "product_category_name", "seller_city", "customer_lat")
+    picked = sales.select(
+        "order_id", "price", "avg_review_score", "product_category_name", "seller_city", "customer_lat"
+    )
     assert rows(picked.withColumn("price", F.col("price").cast("double"))) == [
         ("o1", 10.1, 3.5, "health_beauty", "sao paulo", -23.7),
         ("o1", 20.2, 3.5, None, "sao paulo", -23.7),
@@ -264,6 +266,24 @@ def test_a_failed_table_fails_the_run_after_the_others(spark, layers, raw):
     assert (failed["table"], failed.rows_processed) == ("customers", 0) and "absent.csv" in failed.message
 
 
+def test_a_failed_gold_table_does_not_stop_the_others(spark, layers, raw, monkeypatch):
+    specs = retail_specs()
+    medallion.run_bronze(spark, raw, specs, layers)
+    medallion.run_silver(spark, specs, layers)
+    write = gold.write_table
+
+    def broken(df, name, **options):
+        if name.endswith(".dim_sellers"):
+            raise OSError("disk full")
+        return write(df, name, **options)
+
+    monkeypatch.setattr(gold, "write_table", broken)
+    with pytest.raises(OSError, match="disk full"):
+        medallion.run_gold(spark, layers)
+    runs = load_runs(spark, medallion.audit_table(layers)).where("layer = 'gold'")
+    assert rows(runs.groupBy("status").count()) == [("FAILED", 1), ("SUCCESS", 6)]
+
+
 def test_gold_without_silver_is_recorded_as_failed(spark, layers):
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         medallion.run_gold(spark, layers)
@@ -305,7 +325,12 @@ def test_products_may_keep_untranslated_names(spark):
 
 def test_geolocation_names_ignore_nulls_and_break_ties(spark):
     geo = spark.createDataFrame(
-        [("z", 1.0, 2.0, "b", None), ("z", 2.0, 2.0, "a", "S"), ("z", None, 2.0, None, None), ("y", None, 1.0, None, None)],
+        [
+            ("z", 1.0, 2.0, "b", None),
+            ("z", 2.0, 2.0, "a", "S"),
+            ("z", None, 2.0, None, None),
+            ("y", None, 1.0, None, None),
+        ],
         "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
         "geolocation_city string, geolocation_state string",
     )
@@ -343,7 +368,11 @@ def _skewed_star(spark):
     )
     return gold.Star(
         spark.range(700).selectExpr(
-            "id AS customer_id", "id AS customer_unique_id", "'z' AS customer_zip_code_prefix", "'c' AS customer_city", "'s' AS customer_state"
+            "id AS customer_id",
+            "id AS customer_unique_id",
+            "'z' AS customer_zip_code_prefix",
+            "'c' AS customer_city",
+            "'s' AS customer_state",
         ),
         spark.range(90).selectExpr("id AS seller_id", "'c' AS seller_city", "'s' AS seller_state"),
         spark.range(500).selectExpr("id AS product_id", "'n' AS product_category_name"),
