@@ -85,12 +85,12 @@ def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: Sequence[He
         left.sparkSession.createDataFrame([tuple(h) for h in heavy], f"{_HASH} bigint, {_SLICES} int")
     )
     # The partition id tells identical rows of different input splits apart and is the
-    # same when a lost task runs again.
+    # same when a lost task runs again. Only rows of heavy keys are hashed.
     place = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(left)), F.col(_SLICES)).cast("int")
     left = (
         left.withColumn(_HASH, F.xxhash64(*on))
         .join(plan, _HASH, "left")
-        .withColumn(_SLICE, F.coalesce(place, F.lit(0)))
+        .withColumn(_SLICE, F.when(F.col(_SLICES).isNotNull(), place).otherwise(0))
         .drop(_HASH, _SLICES)
     )
     right = (
