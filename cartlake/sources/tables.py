@@ -34,7 +34,8 @@ def write_table(
 ) -> int:
     """Write ``df`` to the table ``name`` and return the number of rows written.
 
-    The rows are counted by the write itself. ``overwrite`` replaces the table,
+    The rows are counted by the write itself, in its last stage, where a re-run task does
+    not count twice. ``overwrite`` replaces the table,
     ``append`` adds to it, ``partitions`` replaces only the partitions present in ``df``
     and adds new ones.
 
@@ -44,14 +45,13 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = df.sparkSession
-    written = Observation()
-    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         require_columns(df, partition_by)
-        order = [*partition_by, *sort_by]
-        df = df.hint("rebalance", *(F.col(c) for c in partition_by)).sortWithinPartitions(*order)
-    elif sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    written = Observation()
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    if partition_by or sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     if mode == "partitions" and spark.catalog.tableExists(name):
         with _dynamic_overwrite(spark):
             # insertInto matches columns by position.

@@ -81,6 +81,15 @@ def test_other_file_formats(spark, name):
     assert spark.table(name).count() == 1462
 
 
+def test_rows_are_sorted_within_their_files(spark, name):
+    write_table(days(spark).repartition(9), name, partition_by=("year",), sort_by=("ts",))
+    files = spark.table(name).select("_metadata.file_path", "_metadata.row_index", "ts").collect()
+    by_file = {}
+    for path, index, ts in sorted(files):
+        by_file.setdefault(path, []).append(ts)
+    assert all(found == sorted(found) for found in by_file.values())
+
+
 def test_null_partition_reads_back(spark, name):
     df = with_partition_columns(spark.sql("SELECT cast(NULL AS timestamp_ntz) AS ts, 1 AS v"), "ts")
     write_table(df, name, partition_by=("year", "month"))
