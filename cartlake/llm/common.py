@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import shutil
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cartlake
 from cartlake.sources.scratch import materialize
 
 # A word is a run of characters other than the blank and the five ASCII control blanks.
@@ -37,3 +42,19 @@ def located(docs: DataFrame) -> DataFrame:
         if type(error).__name__ != "AnalysisException":
             raise
     return located(materialize(docs, "located")[0])
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this library to the executors, for sessions whose workers do not find it installed."""
+    context = spark.sparkContext
+    name = f"cartlake-{context.applicationId}.zip"
+    if any(f.endswith(name) for f in context.listFiles):
+        return
+    folder = os.path.dirname(os.path.abspath(cartlake.__file__))
+    made = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="cartlake-"), name[:-4]),
+        "zip",
+        os.path.dirname(folder),
+        os.path.basename(folder),
+    )
+    context.addPyFile(made)

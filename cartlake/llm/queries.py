@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import bpe, exact_dedup, line_dedup, mixing, quality, sharding, simhash
+from cartlake.llm import bpe, exact_dedup, line_dedup, mixing, passage_dedup, quality, sharding, simhash, suffix_dedup, vector_dedup
+from cartlake.llm.common import ship
 
 SHARDS = 24
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
@@ -15,6 +16,7 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -59,17 +61,32 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passage_dedup.shared_passages(_table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "other_id": "other_doc_id"})
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = bpe.read_spec(f"{TOKENIZERS}/{VOCABULARY}")
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"), spec, summary=True)
     return coded.withColumnRenamed("id", "doc_id")
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
@@ -84,8 +101,11 @@ QUERIES = {
         op2_simhash,
         op3_exact_dedup,
         op4_sharding,
+        op5_passages,
         op6_mixing,
+        op7_suffix_array,
         op8_bpe,
+        op9_vectors,
         op10_quality,
     )
 }
