@@ -33,6 +33,8 @@ def digest_state(spark: SparkSession, digests: str, state_dir: str, max_bytes: i
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Many small stores would otherwise reserve disk space that they never fill.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     changes = f"{state_dir}/changes"
     own.createDataFrame([], STATE).write.mode("overwrite").parquet(f"{changes}/batch=-1")
 
