@@ -13,10 +13,10 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from cartlake.plans import gold, medallion
+from cartlake.plans import medallion
 from cartlake.plans.views import publish_views
 from cartlake.sources.csv import verify_raw_files
-from cartlake.specs import RETAIL_LINE_COUNTS, RETAIL_TABLES, load_specs, load_thresholds
+from cartlake.specs import RETAIL_TABLES, expected_lines, load_specs, load_thresholds
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -28,9 +28,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--input", action="append", default=[], metavar="NAME=TABLE", help="silver table of a gold input"
     )
-    parser.add_argument("--first", type=dt.date.fromisoformat, default=gold.FIRST_DATE, help="first day of dim_dates")
-    parser.add_argument("--last", type=dt.date.fromisoformat, default=gold.LAST_DATE, help="last day of dim_dates")
+    parser.add_argument("--first", type=dt.date.fromisoformat, help="first day of dim_dates; as far as the orders go if left out")
+    parser.add_argument("--last", type=dt.date.fromisoformat, help="last day of dim_dates")
     parser.add_argument("--skip-loaded", action="store_true", help="leave out raw files loaded before")
+    parser.add_argument(
+        "--mode", choices=("overwrite", "partitions"), default="overwrite", help="what silver and gold replace"
+    )
     parser.add_argument("--workers", type=int, default=4, help="tables loaded side by side")
     a = parser.parse_args(argv)
     if a.raw is None and a.step in ("verify", "bronze", "all"):
@@ -41,14 +44,13 @@ def main(argv: list[str] | None = None) -> None:
     names = dict(pair.split("=", 1) for pair in a.input)
     spark = SparkSession.builder.appName("cartlake").getOrCreate()
     if a.step == "verify":
-        sources = {s.source: RETAIL_LINE_COUNTS[s.name] for s in specs if s.name in RETAIL_LINE_COUNTS}
-        verify_raw_files(spark, a.raw, sources).show(truncate=False)
+        verify_raw_files(spark, a.raw, expected_lines(specs)).show(truncate=False)
     if a.step in ("bronze", "all"):
         medallion.run_bronze(spark, a.raw, specs, skip_loaded=a.skip_loaded, workers=a.workers)
     if a.step in ("silver", "all"):
-        medallion.run_silver(spark, specs, limits=limits, workers=a.workers)
+        medallion.run_silver(spark, specs, limits=limits, workers=a.workers, mode=a.mode)
     if a.step in ("gold", "all"):
-        medallion.run_gold(spark, names=names, first=a.first, last=a.last, workers=a.workers)
+        medallion.run_gold(spark, names=names, first=a.first, last=a.last, workers=a.workers, mode=a.mode)
     if a.step in ("views", "all"):
         publish_views(spark)
 

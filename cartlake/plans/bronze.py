@@ -6,10 +6,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartlake.functions.names import clean_names
 from cartlake.operators.columns import sanitize_columns, stamp_ingested
 from cartlake.sources.csv import read_csv_inferred, read_csv_typed, split_corrupt
+from cartlake.sources.scratch import materialize
 from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
 from cartlake.specs import CORRUPT_RECORD, MALFORMED_RECORD, Layers, TableSpec
 
@@ -20,10 +22,16 @@ class Loaded(NamedTuple):
 
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str | list[str]) -> DataFrame:
-    """Raw rows; with declared types unreadable records carry ``_corrupt_record``."""
+    """Raw rows; with declared types unreadable records carry ``_corrupt_record``.
+
+    The timestamp column lands as text: the silver layer parses it, by the rule of the spec.
+    """
     if spec.types is None:
         return read_csv_inferred(spark, path, spec.multi_line)
-    return read_csv_typed(spark, path, spec.types, spec.multi_line)
+    types = dict(spec.types)
+    if spec.timestamp_column in types:
+        types[spec.timestamp_column] = T.StringType()
+    return read_csv_typed(spark, path, types, spec.multi_line, spec.mixed_headers)
 
 
 def load(
@@ -85,5 +93,4 @@ def new_files(spark: SparkSession, spec: TableSpec, raw_root: str, layers: Layer
     log = read_table(spark, _file_log(layers))
     # The list is fixed before the load, so files that arrive meanwhile wait for the next run.
     known = found if log is None else found.join(log, ["table", "path", "modified"], "left_anti")
-    rows = known.collect()
-    return spark.createDataFrame(rows, found.schema)
+    return materialize(known, "new-files")[0]

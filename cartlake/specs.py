@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
@@ -35,7 +36,13 @@ class TableSpec:
     # Declared column types by (sanitised) name. Undeclared columns stay strings;
     # with no declaration at all the CSV reader infers the types.
     types: Mapping[str, T.DataType] | None = None
+    # For cells with line breaks. Each file is then read by one task, so files should be of the
+    # size of a task, some hundred MB; larger ones are better split where they are made.
     multi_line: bool = False
+    # The files differ in the order of their columns; costs one more pass.
+    mixed_headers: bool = False
+    # Physical lines that the raw file should have, header included; None if unknown.
+    expected_lines: int | None = None
     # "null" keeps a row whose timestamp cannot be parsed, with a NULL timestamp;
     # "reject" sends it to the dead-letter table.
     bad_timestamps: str = "null"
@@ -54,18 +61,73 @@ class TableSpec:
 
     @classmethod
     def from_mapping(cls, entry: Mapping) -> TableSpec:
-        """Build a spec from one entry of a table configuration file."""
+        """Build a spec from one entry of a table configuration file.
+
+        ``types`` maps column names to type names; an unknown key is an error.
+        """
+        unknown = set(entry) - _ENTRY_KEYS
+        if unknown:
+            raise ValueError(f"{entry.get('name')}: unknown keys {', '.join(sorted(unknown))}")
+        types = entry.get("types")
+        lines = entry.get("expected_lines")
         return cls(
             name=entry["name"],
             source=entry["source_file"],
             keys=tuple(entry.get("key_columns") or ()),
             timestamp_column=entry.get("timestamp_column"),
             partition_by=tuple(entry.get("partition_by") or ()),
+            types=None if types is None else {n: parse_type(t) for n, t in types.items()},
             multi_line=bool(entry.get("multi_line", False)),
+            mixed_headers=bool(entry.get("mixed_headers", False)),
+            expected_lines=None if lines is None else int(lines),
+            bad_timestamps=entry.get("bad_timestamps", "null"),
+            null_keys_first=bool(entry.get("null_keys_first", False)),
             description=entry.get("description", ""),
         )
 
 
+_ENTRY_KEYS = frozenset(
+    {
+        "name",
+        "source_file",
+        "key_columns",
+        "timestamp_column",
+        "partition_by",
+        "types",
+        "multi_line",
+        "mixed_headers",
+        "expected_lines",
+        "bad_timestamps",
+        "null_keys_first",
+        "description",
+    }
+)
+
+_TYPE_NAMES = {
+    "string": T.StringType,
+    "int": T.IntegerType,
+    "integer": T.IntegerType,
+    "bigint": T.LongType,
+    "long": T.LongType,
+    "float": T.FloatType,
+    "double": T.DoubleType,
+    "boolean": T.BooleanType,
+    "date": T.DateType,
+    "timestamp": T.TimestampType,
+    "timestamp_ntz": T.TimestampNTZType,
+}
+
+
+def parse_type(name: str) -> T.DataType:
+    """The type of a name such as ``int``, ``timestamp`` or ``decimal(18,2)``."""
+    plain = name.strip().lower()
+    if plain in _TYPE_NAMES:
+        return _TYPE_NAMES[plain]()
+    if decimal := re.fullmatch(r"decimal\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)", plain):
+        return T.DecimalType(int(decimal[1]), int(decimal[2]))
+    raise ValueError(f"unknown type {name!r}")
+
+
 @dataclass(frozen=True)
 class Layers:
     """Namespaces of the session catalog, one per layer."""
@@ -120,6 +182,7 @@ def load_thresholds(path: str) -> QualityThresholds:
 
 
 def _retail() -> tuple[TableSpec, ...]:
+    # Names, keys, timestamp and partition columns of the nine tables.
     s, i, d, ts = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
     return (
         TableSpec(
@@ -255,3 +318,9 @@ def retail_specs(sources: Mapping[str, str] | None = None, **overrides) -> tuple
     """The nine retail tables; ``sources`` maps a table name to its file, folder or glob."""
     sources = sources or {}
     return tuple(replace(t, source=sources.get(t.name, t.source), **overrides) for t in RETAIL_TABLES)
+
+
+def expected_lines(specs: Iterable[TableSpec]) -> dict[str, int]:
+    """Expected line counts by source: those of the specs, else those known for the retail tables."""
+    known = {s.source: s.expected_lines or RETAIL_LINE_COUNTS.get(s.name) for s in specs}
+    return {source: lines for source, lines in known.items() if lines is not None}

@@ -84,18 +84,55 @@ def raw(tmp_path):
 
 
 def test_line_audit(spark, raw):
-    counts = [("a.csv", 3), ("b.csv", 2), ("c.csv", 3), ("d.csv", 1)]
-    wanted = spark.createDataFrame(counts, "source string, expected_lines int")
-    report = raw_line_audit(spark, raw, wanted)
+    expected = {"a.csv": 3, "b.csv": 2, "c.csv": 3, "d.csv": 1}
+    report = raw_line_audit(spark, raw, expected)
     assert rows(report, "source", "actual_lines", "status") == [
         ("a.csv", 3, "OK"),
         ("b.csv", 3, "MISMATCH"),
         ("c.csv", 3, "OK"),
         ("d.csv", None, "MISSING"),
     ]
+    assert rows(raw_line_audit(spark, raw + "/nowhere", {"a.csv": 3}), "status") == [("MISSING",)]
+    assert raw_line_audit(spark, raw, {}).count() == 0
+
+
+def test_line_audit_of_odd_paths(spark, tmp_path):
+    root = tmp_path / "raw files+%20"
+    root.mkdir()
+    put(root, "a b.csv", "h\n1\n")
+    assert rows(raw_line_audit(spark, str(root), {"a b.csv": 2}), "status") == [("OK",)]
 
 
 def test_verify_raises(spark, raw):
     assert verify_raw_files(spark, "file:" + raw, {"a.csv": 3}).count() == 1
     with pytest.raises(RawFilesError, match="b.csv: MISMATCH, 3 of 2 lines; d.csv: MISSING"):
         verify_raw_files(spark, raw, {"a.csv": 3, "b.csv": 2, "d.csv": 9})
+    with pytest.raises(ValueError, match="nothing to verify"):
+        verify_raw_files(spark, raw, {})
+
+
+def test_files_with_other_column_orders(spark, tmp_path):
+    put(tmp_path, "a.csv", "id,a,b\n1,x,y\n")
+    put(tmp_path, "b.csv", "id,b,a\n2,y,x\n")
+    put(tmp_path, "c.csv", "a,id\nx,3\n")
+    types = {"id": T.IntegerType(), "a": T.StringType()}
+    found = split_corrupt(read_csv_typed(spark, str(tmp_path), types, mixed_headers=True))[0]
+    assert rows(found, "id", "a", "b") == [(1, "x", "y"), (2, "x", "y"), (3, "x", None)]
+    with pytest.raises(ValueError, match="no column n"):
+        read_csv_typed(spark, str(tmp_path), {"n": T.IntegerType()}, mixed_headers=True)
+    # Without the option such files are not read in the order of another one.
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_typed(spark, str(tmp_path), {"id": T.IntegerType()}).collect()
+
+
+def test_decimals_that_do_not_fit(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "zip,price\n1,1.005\n2,2.349\n3,2.30\n4,7\n5,2.3400\n")
+    good, bad = split_corrupt(read_csv_typed(spark, path, {"price": MONEY}))
+    assert rows(good) == [("3", decimal.Decimal("2.30")), ("4", decimal.Decimal("7.00")), ("5", decimal.Decimal("2.34"))]
+    assert rows(bad, "zip", "price", "_corrupt_record") == [("1", None, "1,1.005"), ("2", None, "2,2.349")]
+
+
+def test_malformed_timestamps_keep_their_record(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "zip,at\n1,soon\n2,2017-10-02 10:56:33\n")
+    good, bad = split_corrupt(read_csv_typed(spark, path, {"at": T.TimestampType()}))
+    assert rows(good) == [("1", None), ("2", dt.datetime(2017, 10, 2, 10, 56, 33))] and bad.count() == 0

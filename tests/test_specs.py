@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import types as T
 
 from cartlake.specs import (
     RETAIL_LINE_COUNTS,
     RETAIL_TABLES,
     QualityThresholds,
     TableSpec,
+    expected_lines,
     load_specs,
     load_thresholds,
     retail_specs,
@@ -57,3 +59,22 @@ def test_config_files(tmp_path):
     yaml = pytest.importorskip("yaml")
     (tmp_path / "t.yaml").write_text(yaml.safe_dump({"tables": [{"name": "a", "source_file": "a.csv"}]}))
     assert load_specs(str(tmp_path / "t.yaml"))[0].name == "a"
+
+
+def test_specs_with_types(tmp_path):
+    entry = {
+        "name": "a",
+        "source_file": "a.csv",
+        "types": {"id": "bigint", "price": "decimal(18, 2)", "at": "timestamp"},
+        "bad_timestamps": "reject",
+        "null_keys_first": True,
+        "expected_lines": 7,
+    }
+    spec = TableSpec.from_mapping(entry)
+    assert spec.types == {"id": T.LongType(), "price": T.DecimalType(18, 2), "at": T.TimestampType()}
+    assert (spec.bad_timestamps, spec.null_keys_first) == ("reject", True)
+    assert expected_lines([spec, TableSpec("b", "b.csv"), RETAIL_TABLES[0]]) == {"a.csv": 7, "customers.csv": 99442}
+    with pytest.raises(ValueError, match="unknown keys key_cols"):
+        TableSpec.from_mapping({"name": "a", "source_file": "a.csv", "key_cols": ["k"]})
+    with pytest.raises(ValueError, match="unknown type"):
+        TableSpec.from_mapping({**entry, "types": {"id": "number"}})
