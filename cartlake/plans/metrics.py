@@ -8,34 +8,31 @@ rests on dimension keys being unique, which the silver layer sees to.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.functions.dates import month_start
-from cartlake.functions.exact import exact, exact_sum
+from cartlake.functions.dates import is_weekend, month_start
+from cartlake.functions.exact import exact_sum, merge_parts, part_names, sum_parts, total
 from cartlake.plans.gold import Star
 
 
-def _as_double(name: str) -> Column:
-    return F.sum(name).cast("double")
-
-
 def _top(df: DataFrame, metric: str, key: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(metric), F.asc_nulls_first(key)).limit(n)
 
 
 def _revenue_by(sales: DataFrame, dimension: DataFrame, key: str, group: str) -> DataFrame:
-    per_key = sales.groupBy(key).agg(exact_sum(sales, "price").alias("revenue"))
+    per_key = sales.groupBy(key).agg(*sum_parts(sales, "price", "revenue"))
     return (
         per_key.join(dimension.select(key, group), key, "left")
         .groupBy(group)
-        .agg(_as_double("revenue").alias("revenue"))
+        .agg(*merge_parts("revenue"))
+        .select(group, total("revenue").alias("revenue"))
     )
 
 
 def kpi_revenue(star: Star) -> DataFrame:
     sales = star.fact_order_sales
-    return sales.agg(exact_sum(sales, "price").cast("double").alias("revenue"))
+    return sales.agg(exact_sum(sales, "price").alias("revenue"))
 
 
 def kpi_orders(star: Star) -> DataFrame:
@@ -66,14 +63,14 @@ def freight_by_state(star: Star, n: int = 15) -> DataFrame:
     """Mean freight per item, by state of the customer."""
     sales = star.fact_order_sales
     per_customer = sales.groupBy("customer_id").agg(
-        exact_sum(sales, "freight_value").alias("freight"),
-        F.count(exact(sales, "freight_value")).alias("items"),
+        *sum_parts(sales, "freight_value", "freight"), F.count("freight_value").alias("items")
     )
-    mean = _as_double("freight") / F.nullif(F.sum("items"), F.lit(0))
+    mean = total("freight") / F.nullif("items", F.lit(0))
     by_state = (
         per_customer.join(star.dim_customers.select("customer_id", "customer_state"), "customer_id", "left")
         .groupBy("customer_state")
-        .agg(mean.alias("avg_freight"))
+        .agg(*merge_parts("freight"), F.sum("items").alias("items"))
+        .select("customer_state", mean.alias("avg_freight"))
     )
     return _top(by_state, "avg_freight", "customer_state", n)
 
@@ -81,7 +78,7 @@ def freight_by_state(star: Star, n: int = 15) -> DataFrame:
 def monthly_revenue(star: Star) -> DataFrame:
     sales = star.fact_order_sales
     month = month_start("order_purchase_timestamp").alias("month_start")
-    revenue = exact_sum(sales, "price").cast("double").alias("revenue")
+    revenue = exact_sum(sales, "price").alias("revenue")
     return sales.groupBy(month).agg(revenue).orderBy("month_start")
 
 
@@ -120,15 +117,44 @@ def delivery_performance(star: Star) -> DataFrame:
     )
 
 
+def _by_calendar(fact: DataFrame, days: DataFrame, amount: str, alias: str, rows: str) -> DataFrame:
+    """Amount and rows by year, quarter and weekend. Every row of the fact counts: a day that the
+    date dimension lacks gets its parts from the date, and rows without a date are a group."""
+    per_day = fact.groupBy(F.to_date("order_purchase_timestamp").alias("date_sk")).agg(
+        *sum_parts(fact, amount, alias), F.count(F.lit(1)).alias(rows)
+    )
+    parts = {"year": F.year("date_sk"), "quarter": F.quarter("date_sk"), "is_weekend": is_weekend("date_sk")}
+    known = days.select("date_sk", *(F.col(p).alias(f"known_{p}") for p in parts))
+    return (
+        per_day.join(known, "date_sk", "left")
+        .select(
+            *(F.coalesce(f"known_{p}", own).alias(p) for p, own in parts.items()), *part_names(alias), rows
+        )
+        .groupBy(*parts)
+        .agg(*merge_parts(alias), F.sum(rows).alias(rows))
+        .select(*parts, total(alias).alias(alias), rows)
+    )
+
+
 def sales_by_calendar(star: Star) -> DataFrame:
-    """Revenue and items by year, quarter and weekend, over the days of the date dimension."""
-    sales = star.fact_order_sales
-    per_day = sales.groupBy(F.to_date("order_purchase_timestamp").alias("date_sk")).agg(
-        exact_sum(sales, "price").alias("revenue"), F.count(F.lit(1)).alias("items")
+    """Revenue and items by year, quarter and weekend."""
+    return _by_calendar(star.fact_order_sales, star.dim_dates, "price", "revenue", "items")
+
+
+def payments_by_calendar(star: Star) -> DataFrame:
+    """Paid amount and payments by year, quarter and weekend of the purchase."""
+    return _by_calendar(star.fact_order_payments, star.dim_dates, "payment_value", "paid", "payments")
+
+
+def payments_by_customer_state(star: Star) -> DataFrame:
+    """Paid amount and payments by state of the customer."""
+    paid = star.fact_order_payments
+    per_customer = paid.groupBy("customer_id").agg(
+        *sum_parts(paid, "payment_value", "paid"), F.count(F.lit(1)).alias("payments")
     )
-    days = star.dim_dates.select("date_sk", "year", "quarter", "is_weekend")
     return (
-        per_day.join(days, "date_sk")
-        .groupBy("year", "quarter", "is_weekend")
-        .agg(_as_double("revenue").alias("revenue"), F.sum("items").alias("items"))
+        per_customer.join(star.dim_customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .groupBy("customer_state")
+        .agg(*merge_parts("paid"), F.sum("payments").alias("payments"))
+        .select("customer_state", total("paid").alias("paid"), "payments")
     )
