@@ -64,14 +64,16 @@ def between_dates(
 ) -> DataFrame:
     """Rows with ``first <= column < last + 1 day``.
 
-    A timestamp predicate alone does not prune ``year``/``month`` folders, so the
-    same range is stated on the partition columns as well.
+    A timestamp predicate alone does not prune ``year``/``month`` folders, so the range is stated
+    on the partition columns as well, two days wider at both ends: the folders may have been
+    made under another time zone than the one of this session.
     """
     if first > last:
         raise ValueError(f"{first} is after {last}")
     lo, hi = F.lit(first).cast("date"), F.lit(last + dt.timedelta(days=1)).cast("date")
     ts = F.col(column)
     found: Column = (ts >= lo.cast("timestamp_ntz")) & (ts < hi.cast("timestamp_ntz"))
+    first, last = first - dt.timedelta(days=2), last + dt.timedelta(days=2)
     if "year" in parts:
         year = F.col("year")
         found &= year.between(first.year, last.year)

@@ -8,23 +8,20 @@ the survivors and the rejects can be computed by separate plans and still add up
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlake.operators.columns import empty_like, require_columns
-from cartlake.operators.joins import SLICE_ROWS, SPREAD_KEYS, HeavyKey, spread_join
+from cartlake.operators.joins import KEY_HASH, SLICE_ROWS, hashable, slices_of, spread_join
 from cartlake.operators.nulls import any_null
 from cartlake.sources.scratch import materialize
 from cartlake.specs import INGESTED_AT
 
 # Copies of one row written by a single task.
 COPIES_PER_TASK = 100_000
-# Up to this many repeated keys the untouched rows skip the wide shuffle.
-PASS_THROUGH_KEYS = 500_000
-
 _N, _KEPT = "__n", "__kept"
 
 
@@ -36,8 +33,25 @@ def _order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 
 def _sortable(f: T.StructField) -> Column:
-    col = F.col(f"`{f.name}`")
-    return F.array_sort(F.map_entries(col)) if isinstance(f.dataType, T.MapType) else col
+    return _ordered(F.col(f"`{f.name}`"), f.dataType)
+
+
+def _ordered(col: Column, kind: T.DataType) -> Column:
+    """The column as a type that has an order: maps, at any depth, as sorted lists of entries."""
+    if "map<" not in kind.simpleString():
+        return col
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda x: _ordered(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.struct(
+                _ordered(e["key"], kind.keyType).alias("key"), _ordered(e["value"], kind.valueType).alias("value")
+            ),
+        )
+        return F.array_sort(entries)
+    parts = (_ordered(col[f.name], f.dataType).alias(f.name) for f in kind.fields)
+    return F.when(col.isNotNull(), F.struct(*parts))
 
 
 def survivors(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,19 +83,17 @@ def surplus_rows(df: DataFrame, kept: DataFrame, distinct: bool = False) -> Data
     if distinct:
         return counted.where(F.col(_KEPT) > 0).select(*cols)
     surplus = counted.where(F.col(_N) > 0).drop(_KEPT)
-    few = surplus.where(F.col(_N) <= COPIES_PER_TASK)
-    # A row with very many copies is cut into portions, and the portions spread, before
-    # the copies are written out. A fixed partition count keeps them apart.
+    # Copies are written out in portions, spread over the tasks, so a row with very many
+    # copies is not the work of one. A fixed partition count keeps the portions apart.
     portion = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_N} - 1) div {COPIES_PER_TASK}")))
-    many = (
-        surplus.where(F.col(_N) > COPIES_PER_TASK)
-        .withColumn("__portion", portion)
+    portions = (
+        surplus.withColumn("__portion", portion)
         .withColumn(_N, F.least(F.lit(COPIES_PER_TASK), F.col(_N) - F.col("__portion") * COPIES_PER_TASK))
-        .repartition(_shuffle_partitions(df), "__portion", *cols)
+        .repartition(_shuffle_partitions(df), "__portion", *hashable(df))
         .drop("__portion")
     )
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_N)))
-    return few.unionByName(many).withColumn(_N, copies).select(*cols)
+    return portions.withColumn(_N, copies).select(*cols)
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -94,16 +106,17 @@ class KeyProfile:
 
     rows: int
     null_key_rows: int
-    # Materialised repeated keys with ``n_rows``; NULL keys compare equal.
-    repeated: DataFrame
+    # Materialised keys with ``n_rows``: those that repeat and those with a NULL; NULL keys compare equal.
+    touched: DataFrame
     n_repeated: int
     # Rows beyond the first of their key.
     surplus: int
-    heavy: list[HeavyKey] = field(default_factory=list)
+    # Keys with more rows than a task may take, for ``spread_join``; None without any.
+    heavy: DataFrame | None = None
 
     @property
-    def repeated_rows(self) -> int:
-        return self.surplus + self.n_repeated
+    def repeated(self) -> DataFrame:
+        return self.touched.where("n_rows > 1")
 
     @property
     def duplicate_ratio(self) -> float:
@@ -111,10 +124,10 @@ class KeyProfile:
 
 
 def profile_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> KeyProfile:
-    """Count rows per key once, reading only the key columns, and keep the repeated keys.
+    """Count rows per key once, reading only the key columns, and keep the keys that need work.
 
-    The repeated keys are written out: later plans then know their true size, and a
-    small set is broadcast on Spark's own size check.
+    The kept keys are written out: later plans then know their true size, and a small set is
+    broadcast on Spark's own size check.
     """
     require_columns(df, keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -123,23 +136,31 @@ def profile_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROW
         "null_key_rows": F.sum(F.when(any_null(keys), F.col("n_rows"))),
         "n_repeated": F.count_if(F.col("n_rows") > 1),
         "surplus": F.sum(F.col("n_rows") - 1),
+        "n_heavy": F.count_if(F.col("n_rows") > slice_rows),
     }
-    repeated, stats = materialize(counts, "repeated-keys", seen, keep=F.col("n_rows") > 1)
-    heavy = []
-    if stats["n_repeated"]:
-        top = repeated.where(F.col("n_rows") > slice_rows).orderBy(F.desc("n_rows")).limit(SPREAD_KEYS)
-        found = top.select(F.xxhash64(*keys).alias("k"), "n_rows").collect()
-        heavy = [HeavyKey(r.k, -(-r.n_rows // slice_rows)) for r in found]
+    keep = (F.col("n_rows") > 1) | any_null(keys)
+    touched, stats = materialize(counts, "repeated-keys", seen, keep=keep)
+    heavy = None
+    if stats["n_heavy"]:
+        heavy = touched.where(F.col("n_rows") > slice_rows).select(
+            F.xxhash64(*keys).alias(KEY_HASH), slices_of("n_rows", slice_rows)
+        )
     return KeyProfile(
-        stats["rows"] or 0,
-        stats["null_key_rows"] or 0,
-        repeated,
-        stats["n_repeated"] or 0,
-        stats["surplus"] or 0,
-        heavy,
+        stats["rows"] or 0, stats["null_key_rows"] or 0, touched, stats["n_repeated"] or 0, stats["surplus"] or 0, heavy
     )
 
 
+def pick_touched(df: DataFrame, keys: Sequence[str], profile: KeyProfile) -> tuple[DataFrame, DataFrame]:
+    """``(touched, untouched)``: rows of keys that repeat or have a NULL, written out, and the others.
+
+    That is one scan for either part, however the touched rows are split afterwards.
+    """
+    marks = profile.touched.select(*keys)
+    touched = spread_join(df, marks, keys, "left_semi", profile.heavy, null_safe=True)
+    untouched = spread_join(df, marks, keys, "left_anti", profile.heavy, null_safe=True)
+    return materialize(touched, "repeated-rows")[0], untouched
+
+
 def split_duplicates(
     df: DataFrame,
     keys: Sequence[str],
@@ -149,7 +170,8 @@ def split_duplicates(
     """``(valid, rejected)``: one row per key, and the rest.
 
     ``rejects="copies"`` rejects every surplus row, so the two counts add up to the
-    input. ``rejects="set"`` rejects the distinct rows that differ from the survivors.
+    input. ``rejects="set"`` rejects the distinct rows that differ from the survivors. The
+    survivors are written out once and serve both results.
 
     With a ``profile`` of the same rows only those of repeated keys are compared: a table
     without repeated keys passes through as it is, without any wide shuffle.
@@ -159,19 +181,11 @@ def split_duplicates(
     if not keys:
         return df, empty_like(df)
     require_columns(df, keys)
-    distinct = rejects == "set"
-    if profile is not None and not profile.n_repeated:
-        return df, empty_like(df)
-    # Singling out the rows of repeated keys pays while they are the smaller part.
-    if profile is None or 2 * profile.repeated_rows > profile.rows:
-        valid = survivors(df, keys)
-        return valid, surplus_rows(df, valid, distinct)
-    marks = profile.repeated.select(*keys)
-    involved = spread_join(df, marks, keys, "left_semi", profile.heavy, null_safe=True)
-    kept = survivors(involved, keys)
-    if profile.n_repeated <= PASS_THROUGH_KEYS:
-        untouched = spread_join(df, marks, keys, "left_anti", profile.heavy, null_safe=True)
-        valid = untouched.unionByName(kept)
-    else:
-        valid = survivors(df, keys)
-    return valid, surplus_rows(involved, kept, distinct)
+    if profile is not None:
+        if not profile.n_repeated:
+            return df, empty_like(df)
+        touched, untouched = pick_touched(df, keys, profile)
+        valid, rejected = split_duplicates(touched, keys, rejects)
+        return untouched.unionByName(valid), rejected
+    kept, _ = materialize(survivors(df, keys), "survivors")
+    return kept, surplus_rows(df, kept, rejects == "set")

@@ -9,44 +9,32 @@ not meet that, so their heavy keys are found first and spread over slices here.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartlake.sources.scratch import materialize
+
 # Rows of one key that a single task may take.
 SLICE_ROWS = 1_000_000
-# Keys a frequency sketch follows, and those it reports. The tasks of a scan share out
-# over lanes with one sketch each, so a fixed number of keys is left to add up.
-TRACKED_KEYS = 8192
-REPORTED_KEYS = 4000
-LANES = 512
-# Heavy keys that are spread, the largest first.
-SPREAD_KEYS = 1000
 
-_HASH, _SLICE, _SLICES = "__key_hash", "__slice", "__slices"
+KEY_HASH, _SLICE, _SLICES = "__key_hash", "__slice", "__slices"
 
 
-class HeavyKey(NamedTuple):
-    key_hash: int
-    slices: int
+def slices_of(rows: str, slice_rows: int) -> Column:
+    return F.ceil(F.col(rows) / slice_rows).cast("int").alias(_SLICES)
 
 
-def heavy_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> list[HeavyKey]:
-    """Keys of ``df`` with more than ``slice_rows`` rows, the ``SPREAD_KEYS`` largest.
+def heavy_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame | None:
+    """All keys of ``df`` with more than ``slice_rows`` rows, by hash, with their number of slices.
 
-    One job over the key columns of all rows, with no shuffle of rows: each task keeps a
-    frequency sketch. A key with 1/2000 of the rows is sure to be found. The counts only
-    steer how rows are spread, never which rows match.
+    One pass over the key columns counts the rows of each key exactly, summed up before they are
+    shuffled. The list is written out and never meets the driver; None if there are none.
     """
-    per_lane = (
-        df.select(F.xxhash64(*on).alias("k"), F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane"))
-        .groupBy("lane")
-        .agg(F.expr(f"approx_top_k(k, {REPORTED_KEYS}, {TRACKED_KEYS})").alias("top"))
-    )
-    counts = per_lane.select(F.inline("top")).toDF("k", "n").groupBy("k").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") > slice_rows).orderBy(F.desc("n"), "k").limit(SPREAD_KEYS).collect()
-    return [HeavyKey(r.k, -(-r.n // slice_rows)) for r in found]
+    counts = df.select(F.xxhash64(*on).alias(KEY_HASH)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n"))
+    many = F.col("n") > slice_rows
+    found, seen = materialize(counts, "heavy-keys", {"n": F.count_if(many)}, keep=many)
+    return found.select(KEY_HASH, slices_of("n", slice_rows)) if seen["n"] else None
 
 
 def spread_join(
@@ -54,20 +42,21 @@ def spread_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    heavy: Sequence[HeavyKey] = (),
+    heavy: DataFrame | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """``left.join(right, on, how)`` with the rows of ``heavy`` left keys cut into slices.
 
     ``how`` is inner, left, left_semi or left_anti. A left row goes to one slice of its
-    key, a right row to all of them; ``right`` should hold few rows per key. The list of
-    heavy keys is a constant of the plan, so a re-run task places every row as before.
+    key, a right row to all of them; ``right`` should hold few rows per key. The list of heavy
+    keys is a written table, so a re-run task places every row as before; Spark broadcasts
+    it if it is small, and joins it like any table otherwise.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     on = list(on)
     extra: list[str] = []
-    if heavy:
+    if heavy is not None:
         left, right = _sliced(left, right, on, heavy)
         extra = [_SLICE]
     if not null_safe:
@@ -79,29 +68,25 @@ def spread_join(
     return left.join(renamed, cond, how).drop(*extra, *(f"__r_{c}" for c in on + extra))
 
 
-def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: Sequence[HeavyKey]):
-    # At most SPREAD_KEYS rows of two integers, so the broadcast has a fixed bound.
-    plan = F.broadcast(
-        left.sparkSession.createDataFrame([tuple(h) for h in heavy], f"{_HASH} bigint, {_SLICES} int")
-    )
+def _sliced(left: DataFrame, right: DataFrame, on: list[str], heavy: DataFrame):
     # The partition id tells identical rows of different input splits apart and is the
     # same when a lost task runs again. Only rows of heavy keys are hashed.
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(left)), F.col(_SLICES)).cast("int")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable(left)), F.col(_SLICES)).cast("int")
     left = (
-        left.withColumn(_HASH, F.xxhash64(*on))
-        .join(plan, _HASH, "left")
+        left.withColumn(KEY_HASH, F.xxhash64(*on))
+        .join(heavy, KEY_HASH, "left")
         .withColumn(_SLICE, F.when(F.col(_SLICES).isNotNull(), place).otherwise(0))
-        .drop(_HASH, _SLICES)
+        .drop(KEY_HASH, _SLICES)
     )
     right = (
-        right.withColumn(_HASH, F.xxhash64(*on))
-        .join(plan, _HASH, "left")
+        right.withColumn(KEY_HASH, F.xxhash64(*on))
+        .join(heavy, KEY_HASH, "left")
         .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), F.coalesce(_SLICES, F.lit(1)) - 1)))
-        .drop(_HASH, _SLICES)
+        .drop(KEY_HASH, _SLICES)
     )
     return left, right
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    # Maps cannot be hashed, wherever they are in a type.
+def hashable(df: DataFrame) -> list[Column]:
+    """Columns that can be hashed: maps cannot, wherever they are in a type."""
     return [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]

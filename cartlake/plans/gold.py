@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from typing import NamedTuple
 
@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.functions.dates import is_weekend
-from cartlake.functions.exact import exact, exact_mean
+from cartlake.functions.exact import exact_mean, merge_parts, sum_parts, total
 from cartlake.operators.columns import stamp_updated
-from cartlake.operators.joins import HeavyKey, heavy_keys, spread_join
+from cartlake.operators.joins import heavy_keys, spread_join
+from cartlake.sources.scratch import released
 from cartlake.sources.tables import ensure_namespace, write_table
 from cartlake.specs import Layers
 
-# The range of the date dimension.
+# The least range of the date dimension.
 FIRST_DATE = dt.date(2016, 1, 1)
 LAST_DATE = dt.date(2019, 12, 31)
 
@@ -55,6 +56,10 @@ SOLD_ORDER_COLUMNS = (
 )
 
 
+class GoldFailed(RuntimeError):
+    """Some gold tables could not be built; the others were."""
+
+
 class Star(NamedTuple):
     dim_customers: DataFrame
     dim_sellers: DataFrame
@@ -93,25 +98,28 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     are compared, so no task holds all the rows of a prefix.
     """
     zip_, city, state = F.col("geolocation_zip_code_prefix"), F.col("geolocation_city"), F.col("geolocation_state")
-    # Fifteen places hold all the digits of a coordinate.
-    lat, lng = (exact(geolocation, c, scale=15) for c in ("geolocation_lat", "geolocation_lng"))
-    places = geolocation.select(
-        zip_.alias("zip"), city.alias("city"), state.alias("state"), lat.alias("lat"), lng.alias("lng")
+    # Fifteen places hold all the digits of a coordinate. Rows are summed up by their names
+    # first, so what is expanded for the three groupings is small.
+    sums = [part for axis in ("lat", "lng") for part in sum_parts(geolocation, f"geolocation_{axis}", axis, 15)]
+    places = geolocation.groupBy(zip_.alias("zip"), city.alias("city"), state.alias("state")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *sums,
+        F.count("geolocation_lat").alias("lat_n"),
+        F.count("geolocation_lng").alias("lng_n"),
     )
     counts = places.groupingSets([("zip",), ("zip", "city"), ("zip", "state")], "zip", "city", "state").agg(
         F.grouping_id().alias("level"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("lat").alias("lat_sum"),
-        F.count("lat").alias("lat_n"),
-        F.sum("lng").alias("lng_sum"),
-        F.count("lng").alias("lng_n"),
+        F.sum("n").alias("n"),
+        *merge_parts("lat"),
+        *merge_parts("lng"),
+        F.sum("lat_n").alias("lat_n"),
+        F.sum("lng_n").alias("lng_n"),
     )
     # Bits of the grouping id, high to low: zip, city, state; 1 means grouped away.
     whole, by_city, by_state = (F.col("level") == b for b in (0b011, 0b001, 0b010))
 
     def mean(axis: str) -> Column:
-        total = F.max(F.when(whole, F.col(f"{axis}_sum"))).cast("double")
-        return total / F.nullif(F.max(F.when(whole, F.col(f"{axis}_n"))), F.lit(0))
+        return total(axis) / F.nullif(F.col(f"{axis}_n"), F.lit(0))
 
     def commonest(name: str, level: Column) -> Column:
         ranked = F.struct((-F.col("n")).alias("n"), F.col(name).alias("name"))
@@ -120,12 +128,20 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     return stamp_updated(
         counts.groupBy("zip")
         .agg(
-            mean("lat").alias("avg_latitude"),
-            mean("lng").alias("avg_longitude"),
+            *merge_parts("lat", whole),
+            *merge_parts("lng", whole),
+            F.sum(F.when(whole, F.col("lat_n"))).alias("lat_n"),
+            F.sum(F.when(whole, F.col("lng_n"))).alias("lng_n"),
             commonest("city", by_city).alias("city"),
             commonest("state", by_state).alias("state"),
         )
-        .withColumnRenamed("zip", "geolocation_zip_code_prefix")
+        .select(
+            F.col("zip").alias("geolocation_zip_code_prefix"),
+            mean("lat").alias("avg_latitude"),
+            mean("lng").alias("avg_longitude"),
+            "city",
+            "state",
+        )
     )
 
 
@@ -152,12 +168,19 @@ def dim_dates(spark: SparkSession, first: dt.date = FIRST_DATE, last: dt.date =
     )
 
 
+def date_range(orders: DataFrame) -> tuple[dt.date, dt.date]:
+    """From the first purchase to the last one, and the fixed least range at any rate."""
+    day = F.to_date("order_purchase_timestamp")
+    first, last = orders.agg(F.min(day), F.max(day)).first()
+    return min(first or FIRST_DATE, FIRST_DATE), max(last or LAST_DATE, LAST_DATE)
+
+
 def review_scores(reviews: DataFrame) -> DataFrame:
     """Mean review score per order, so that joining it does not multiply rows."""
     return reviews.groupBy("order_id").agg(exact_mean(reviews, "review_score").alias("avg_review_score"))
 
 
-def fact_order_payments(orders: DataFrame, payments: DataFrame, heavy: Sequence[HeavyKey] = ()) -> DataFrame:
+def fact_order_payments(orders: DataFrame, payments: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """One row per payment of a known order; ``heavy`` are order ids with very many payments."""
     order = orders.select(*PAID_ORDER_COLUMNS)
     rest = [c for c in payments.columns if c != "order_id"]
@@ -169,7 +192,7 @@ def fact_order_sales(
     items: DataFrame,
     orders: DataFrame,
     reviews: DataFrame,
-    heavy: Sequence[HeavyKey] = (),
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """One row per item of a known order; ``heavy`` are order ids with very many items.
 
@@ -198,19 +221,31 @@ def build(
     spark: SparkSession,
     layers: Layers = Layers(),
     names: dict[str, str] | None = None,
-    first: dt.date = FIRST_DATE,
-    last: dt.date = LAST_DATE,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
     on_written: Callable[[str, int], None] = lambda name, rows: None,
     workers: int = 4,
+    mode: str = "overwrite",
 ) -> dict[str, int]:
     """Build and replace all gold tables, several at a time; rows written by table name.
 
     ``names`` maps the inputs above to silver tables of other names. All silver tables
-    must exist before anything is written. If a table fails the others are finished first.
+    must exist before anything is written. If a table fails the others are finished first, and
+    the error names all that failed. The date dimension goes from ``first`` to ``last``, or as
+    far as the orders do. ``mode="partitions"`` replaces only those partitions of the facts that
+    have rows now; dimensions are replaced whole.
     """
+    with released(spark):
+        return _build(spark, layers, names, first, last, on_written, workers, mode)
+
+
+def _build(spark, layers, names, first, last, on_written, workers, mode) -> dict[str, int]:
     names = {n: n for n in SILVER_INPUTS} | (names or {})
     t = {n: spark.table(f"{layers.silver}.{names[n]}") for n in SILVER_INPUTS}
     ensure_namespace(spark, layers.gold, layers.location)
+    if first is None or last is None:
+        found = date_range(t["orders"])
+        first, last = first or found[0], last or found[1]
     star = Star(
         dim_customers(t["customers"]),
         dim_sellers(t["sellers"]),
@@ -222,26 +257,31 @@ def build(
             t["order_items"], t["orders"], t["order_reviews"], heavy_keys(t["order_items"], ["order_id"])
         ),
     )
+
     def write(name: str) -> int:
-        parts = FACT_PARTITIONS if name.startswith("fact_") else ()
+        fact = name.startswith("fact_")
         return write_table(
-            getattr(star, name), f"{layers.gold}.{name}", partition_by=parts, file_format=layers.file_format
+            getattr(star, name),
+            f"{layers.gold}.{name}",
+            mode if fact else "overwrite",
+            FACT_PARTITIONS if fact else (),
+            file_format=layers.file_format,
         )
 
     rows: dict[str, int] = {}
-    failures: list[Exception] = []
+    failures: dict[str, BaseException] = {}
     with ThreadPoolExecutor(max_workers=workers) as pool:
         # The facts take longest, so they start first.
         tasks = {pool.submit(write, name): name for name in reversed(Star._fields)}
         for task in as_completed(tasks):
             name = tasks[task]
             if error := task.exception():
-                failures.append(error)
+                failures[name] = error
                 continue
             rows[name] = task.result()
             on_written(name, rows[name])
     if failures:
-        raise failures[0]
+        raise GoldFailed("; ".join(f"{n}: {e}" for n, e in sorted(failures.items()))) from failures[min(failures)]
     return rows
 
 

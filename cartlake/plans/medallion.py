@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from cartlake.plans import bronze, gold, silver
 from cartlake.plans.views import publish_views
-from cartlake.sources.audit import FAILED, PARTIAL, SUCCESS, record_run
+from cartlake.sources.audit import FAILED, PARTIAL, SUCCESS, Run, record_runs
 from cartlake.sources.tables import ensure_namespace
 from cartlake.specs import RETAIL_TABLES, Layers, QualityThresholds, TableSpec
 
@@ -37,11 +37,11 @@ def _run_layer(
     load: Callable[[TableSpec], object],
     workers: int,
 ) -> None:
-    """Load the tables of a layer side by side, record each, raise at the end if any failed."""
+    """Load the tables of a layer side by side, record all of them, raise at the end if any failed."""
     failed = []
+    runs: list[Run] = []
     with ThreadPoolExecutor(max_workers=workers) as pool:
         tasks = {pool.submit(load, s): s.name for s in specs}
-        # Records are appended from this thread only: appends to one table do not overlap.
         for task in as_completed(tasks):
             name = tasks[task]
             try:
@@ -49,22 +49,15 @@ def _run_layer(
             except Exception as error:
                 log.exception("%s.%s failed", layer, name)
                 failed.append(name)
-                record_run(spark, audit_table(layers), layer, name, 0, FAILED, message=str(error)[:1000])
+                runs.append(Run(layer, name, 0, FAILED, message=str(error)))
                 continue
             if done is None:
                 log.warning("%s.%s skipped: its input table does not exist", layer, name)
                 continue
             breaches = getattr(done, "breaches", ())
-            record_run(
-                spark,
-                audit_table(layers),
-                layer,
-                name,
-                done.rows,
-                PARTIAL if breaches else SUCCESS,
-                done.rejected,
-                "; ".join(breaches) or None,
-            )
+            status = PARTIAL if breaches else SUCCESS
+            runs.append(Run(layer, name, done.rows, status, done.rejected, "; ".join(breaches) or None))
+    record_runs(spark, audit_table(layers), runs)
     if failed:
         raise RunFailed(f"{layer}: {', '.join(sorted(failed))}")
 
@@ -92,21 +85,23 @@ def run_silver(
     layers: Layers = Layers(),
     limits: QualityThresholds | None = None,
     workers: int = 4,
+    mode: str = "overwrite",
 ) -> None:
     ensure_namespace(spark, layers.ops, layers.location)
-    _run_layer(spark, "silver", specs, layers, lambda spec: silver.load(spark, spec, layers, limits), workers)
+    _run_layer(spark, "silver", specs, layers, lambda spec: silver.load(spark, spec, layers, limits, mode), workers)
 
 
 def run_gold(
     spark: SparkSession,
     layers: Layers = Layers(),
     names: dict[str, str] | None = None,
-    first: dt.date = gold.FIRST_DATE,
-    last: dt.date = gold.LAST_DATE,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
     workers: int = 4,
+    mode: str = "overwrite",
 ) -> dict[str, int]:
     ensure_namespace(spark, layers.ops, layers.location)
-    audit = audit_table(layers)
+    runs: list[Run] = []
     try:
         return gold.build(
             spark,
@@ -114,12 +109,15 @@ def run_gold(
             names,
             first,
             last,
-            on_written=lambda name, rows: record_run(spark, audit, "gold", name, rows),
+            on_written=lambda name, rows: runs.append(Run("gold", name, rows)),
             workers=workers,
+            mode=mode,
         )
     except Exception as error:
-        record_run(spark, audit, "gold", GOLD_BATCH, 0, FAILED, message=str(error)[:1000])
+        runs.append(Run("gold", GOLD_BATCH, 0, FAILED, message=str(error)))
         raise
+    finally:
+        record_runs(spark, audit_table(layers), runs)
 
 
 def run(
@@ -129,18 +127,21 @@ def run(
     layers: Layers = Layers(),
     limits: QualityThresholds | None = None,
     names: dict[str, str] | None = None,
-    first: dt.date = gold.FIRST_DATE,
-    last: dt.date = gold.LAST_DATE,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
     skip_loaded: bool = False,
     workers: int = 4,
+    mode: str = "overwrite",
 ) -> dict[str, int]:
     """Raw files to published views; rows of the gold tables by name.
 
+    ``mode="partitions"`` replaces only those partitions of partitioned tables that have rows now.
+
     A layer starts only after the one before it is complete. A failed table does not keep
     the others of its layer from finishing, but it fails the run.
     """
     run_bronze(spark, raw_root, specs, layers, skip_loaded, workers)
-    run_silver(spark, specs, layers, limits, workers)
-    rows = run_gold(spark, layers, names, first, last, workers)
+    run_silver(spark, specs, layers, limits, workers, mode)
+    rows = run_gold(spark, layers, names, first, last, workers, mode)
     publish_views(spark, layers)
     return rows

@@ -15,9 +15,10 @@ from cartlake.operators.columns import (
     stamp_updated,
     with_partition_columns,
 )
-from cartlake.operators.duplicates import KeyProfile, profile_keys, split_duplicates
+from cartlake.operators.duplicates import KeyProfile, pick_touched, profile_keys, split_duplicates
 from cartlake.operators.nulls import split_nulls
 from cartlake.operators.quality import enforce_gate, quality_gate
+from cartlake.sources.scratch import released
 from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
 from cartlake.specs import BAD_TIMESTAMP, DLQ_REASON, DUPLICATE_KEY, NULL_KEY, Layers, QualityThresholds, TableSpec
 
@@ -45,20 +46,20 @@ def cleanse(df: DataFrame, spec: TableSpec, profile: KeyProfile | None = None) -
     require_columns(df, spec.keys, spec.name)
     rejects: list[DataFrame] = []
     valid = df
-    if spec.keys:
+    if spec.keys and (profile is None or profile.n_repeated or profile.null_key_rows):
+        touched, untouched = (df, None) if profile is None else pick_touched(df, spec.keys, profile)
         if spec.null_keys_first:
-            valid, nulls = split_nulls(valid, spec.keys)
-            valid, copies = split_duplicates(valid, spec.keys, profile=profile)
+            whole, nulls = split_nulls(touched, spec.keys)
+            valid, copies = split_duplicates(whole, spec.keys)
         else:
-            valid, copies = split_duplicates(valid, spec.keys, profile=profile)
-            # The survivor of a NULL key depends on rows with that key only.
-            null_part = split_nulls(df, spec.keys)[1]
-            nulls = split_duplicates(null_part, spec.keys, profile=profile)[0]
-            valid = split_nulls(valid, spec.keys)[0]
+            kept, copies = split_duplicates(touched, spec.keys)
+            valid, nulls = split_nulls(kept, spec.keys)
         if profile is None or profile.n_repeated:
             rejects.append(copies.withColumn(DLQ_REASON, F.lit(DUPLICATE_KEY)))
         if profile is None or profile.null_key_rows:
             rejects.append(nulls.withColumn(DLQ_REASON, F.lit(NULL_KEY)))
+        if untouched is not None:
+            valid = untouched.unionByName(valid)
     if spec.timestamp_column:
         require_columns(df, [spec.timestamp_column], spec.name)
         if spec.bad_timestamps == "reject":
@@ -75,29 +76,44 @@ def load(
     spec: TableSpec,
     layers: Layers = Layers(),
     limits: QualityThresholds | None = None,
+    mode: str = "overwrite",
 ) -> Loaded | None:
     """Rebuild a silver table from its bronze table; None if there is no bronze table.
 
     One pass over the key columns comes first. It tells whether there is anything to
-    reject, so a clean table is neither shuffled nor compared. With ``limits`` the quality
-    gate runs before anything is written.
+    reject, so a clean table is neither written twice nor compared. With ``limits`` the quality
+    gate runs before anything is written. ``mode="partitions"`` replaces only the partitions of a
+    partitioned table that have rows now.
+
+    Rejects are written after the silver rows and take the place of those of earlier loads, which
+    came from the same, ever-growing bronze table. What was written meanwhile is deleted.
     """
     bronze = read_table(spark, f"{layers.bronze}.{spec.name}")
     if bronze is None:
         return None
     require_columns(bronze, spec.keys, spec.name)
-    profile = profile_keys(bronze, spec.keys) if spec.keys else None
-    breaches: list[str] = []
-    if limits is not None:
-        breaches = enforce_gate(quality_gate(bronze, spec.keys, limits, profile), limits)
-    valid, rejects = cleanse(bronze, spec, profile)
-    rejected = 0
-    if rejects is not None:
-        ensure_namespace(spark, layers.dlq, layers.location)
-        some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
+    with released(spark):
+        profile = profile_keys(bronze, spec.keys) if spec.keys else None
+        breaches: list[str] = []
+        if limits is not None:
+            breaches = enforce_gate(quality_gate(bronze, spec.keys, limits, profile), limits)
+        valid, rejects = cleanse(bronze, spec, profile)
+        ensure_namespace(spark, layers.silver, layers.location)
+        target = f"{layers.silver}.{spec.name}"
+        rows = write_table(
+            valid,
+            target,
+            mode if spec.partition_by else "overwrite",
+            spec.partition_by,
+            file_format=layers.file_format,
+        )
+        rejected = 0
         dlq = f"{layers.dlq}.{spec.name}_rejected"
-        rejected = write_dlq(rejects, dlq, some=some, file_format=layers.file_format)
-    ensure_namespace(spark, layers.silver, layers.location)
-    target = f"{layers.silver}.{spec.name}"
-    rows = write_table(valid, target, partition_by=spec.partition_by, file_format=layers.file_format)
+        if rejects is None and read_table(spark, dlq) is not None:
+            rejects = bronze.where(F.lit(False)).withColumn(DLQ_REASON, F.lit(DUPLICATE_KEY))
+        if rejects is not None:
+            ensure_namespace(spark, layers.dlq, layers.location)
+            some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
+            reasons = (DUPLICATE_KEY, NULL_KEY, BAD_TIMESTAMP)
+            rejected = write_dlq(rejects, dlq, some=some, file_format=layers.file_format, replace=reasons)
     return Loaded(rows, rejected, tuple(breaches))

@@ -34,16 +34,22 @@ MASTER_SALES = "Master_Sales_Auto"
 MASTER_PAYMENTS = "Master_Payments_Auto"
 
 
-def customer_places(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
-    """Customers with the coordinates of their zip prefix."""
-    geo = geolocation.selectExpr(
-        "geolocation_zip_code_prefix AS customer_zip_code_prefix",
-        "avg_latitude AS customer_lat",
-        "avg_longitude AS customer_lon",
-    )
-    return customers.join(geo, "customer_zip_code_prefix", "left").select(
-        "customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_lat", "customer_lon"
+# The wide sales view, by the names of its inputs. Customers meet their coordinates before they
+# meet the fact, so the fact takes part in three joins, not four.
+_MASTER_SALES_SQL = f"""
+    WITH places AS (
+        SELECT customer_id, customer_unique_id, customer_city, customer_state,
+               avg_latitude AS customer_lat, avg_longitude AS customer_lon
+        FROM {{dim_customers}}
+        LEFT JOIN {{dim_geolocation}} ON geolocation_zip_code_prefix = customer_zip_code_prefix
     )
+    SELECT {", ".join(MASTER_SALES_COLUMNS)}
+    FROM {{fact_order_sales}}
+    LEFT JOIN places USING (customer_id)
+    LEFT JOIN (SELECT product_id, product_category_name FROM {{dim_products}}) USING (product_id)
+    LEFT JOIN (SELECT seller_id, seller_city, seller_state FROM {{dim_sellers}}) USING (seller_id)
+"""
+_MASTER_SALES_INPUTS = ("dim_customers", "dim_geolocation", "fact_order_sales", "dim_products", "dim_sellers")
 
 
 def seller_geo(sellers: DataFrame, geolocation: DataFrame) -> DataFrame:
@@ -61,18 +67,11 @@ def seller_geo(sellers: DataFrame, geolocation: DataFrame) -> DataFrame:
 def master_sales(star: Star) -> DataFrame:
     """Every sales row with its customer, product, seller and customer coordinates.
 
-    Customers meet their coordinates before they meet the fact, so the fact takes part in
-    three joins, not four. Each of them shuffles both sides on a key of its own unless the
-    dimension is small, which lets adaptive execution split a hot customer or product.
+    Each of the fact's joins shuffles both sides on a key of its own unless the dimension is
+    small, which lets adaptive execution split a hot customer or product.
     """
-    products = star.dim_products.select("product_id", "product_category_name")
-    sellers = star.dim_sellers.select("seller_id", "seller_city", "seller_state")
-    return (
-        star.fact_order_sales.join(customer_places(star.dim_customers, star.dim_geolocation), "customer_id", "left")
-        .join(products, "product_id", "left")
-        .join(sellers, "seller_id", "left")
-        .select(*MASTER_SALES_COLUMNS)
-    )
+    inputs = {name: getattr(star, name) for name in _MASTER_SALES_INPUTS}
+    return star.fact_order_sales.sparkSession.sql(_MASTER_SALES_SQL, **inputs)
 
 
 def master_payments(star: Star) -> DataFrame:
@@ -85,19 +84,7 @@ def publish_views(spark: SparkSession, layers: Layers = Layers()) -> list[str]:
     gold = layers.gold
     bodies = {name: f"SELECT * FROM {gold}.{name}" for name in Star._fields}
     bodies[MASTER_PAYMENTS] = f"SELECT * FROM {gold}.fact_order_payments"
-    bodies[MASTER_SALES] = f"""
-        WITH places AS (
-            SELECT customer_id, customer_unique_id, customer_city, customer_state,
-                   avg_latitude AS customer_lat, avg_longitude AS customer_lon
-            FROM {gold}.dim_customers
-            LEFT JOIN {gold}.dim_geolocation ON geolocation_zip_code_prefix = customer_zip_code_prefix
-        )
-        SELECT {", ".join(MASTER_SALES_COLUMNS)}
-        FROM {gold}.fact_order_sales
-        LEFT JOIN places USING (customer_id)
-        LEFT JOIN (SELECT product_id, product_category_name FROM {gold}.dim_products) USING (product_id)
-        LEFT JOIN (SELECT seller_id, seller_city, seller_state FROM {gold}.dim_sellers) USING (seller_id)
-    """
+    bodies[MASTER_SALES] = _MASTER_SALES_SQL.format(**{name: f"{gold}.{name}" for name in _MASTER_SALES_INPUTS})
     for name, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE VIEW {layers.bi}.{name} AS {body}")
     return [f"{layers.bi}.{name}" for name in bodies]

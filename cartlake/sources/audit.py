@@ -1,8 +1,10 @@
-"""Run records: one appended row per table load, and the latest state per table."""
+"""Run records: one row per table load, appended by layer, and the latest state per table."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,25 +19,32 @@ SCHEMA = (
 )
 
 
-def record_run(
-    spark: SparkSession,
-    audit_table: str,
-    layer: str,
-    table: str,
-    rows: int,
-    status: str = SUCCESS,
-    rejected: int = 0,
-    message: str | None = None,
-) -> None:
-    if status not in (SUCCESS, FAILED, PARTIAL):
-        raise ValueError(f"unknown status {status!r}")
+class Run(NamedTuple):
+    """What is recorded of one table load."""
+
+    layer: str
+    table: str
+    rows: int
+    status: str = SUCCESS
+    rejected: int = 0
+    message: str | None = None
+
+
+def record_runs(spark: SparkSession, audit_table: str, runs: Sequence[Run]) -> None:
+    """Append the records of several loads at once, all with the present time."""
+    unknown = {r.status for r in runs} - {SUCCESS, FAILED, PARTIAL}
+    if unknown:
+        raise ValueError(f"unknown status {', '.join(sorted(unknown))}")
+    if not runs:
+        return
     now = dt.datetime.now(dt.timezone.utc)
-    values = (layer, table, now, rows, status, rejected, message)
-    types = spark.createDataFrame([], SCHEMA).schema.fields
-    record = spark.range(0, 1, 1, 1).select(
-        *(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, types, strict=True))
-    )
-    record.write.mode("append").saveAsTable(audit_table)
+    rows = [(r.layer, r.table, now, r.rows, r.status, r.rejected, r.message) for r in runs]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").saveAsTable(audit_table)
+
+
+def record_run(spark: SparkSession, audit_table: str, *run, **more) -> None:
+    """Append the record of one load; the arguments are those of ``Run``."""
+    record_runs(spark, audit_table, [Run(*run, **more)])
 
 
 def load_runs(spark: SparkSession, audit_table: str) -> DataFrame:

@@ -6,12 +6,18 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
+# Paths made below the innermost ``released`` block of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("cartlake_scratch", default=None)
+
+
 @cache
 def _local_folder() -> str:
     folder = tempfile.mkdtemp(prefix="cartlake-")
@@ -34,7 +40,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    return f"{scratch_root(spark)}/cartlake/{purpose}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/cartlake/{purpose}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch paths made in the block at its end, also if it fails.
+
+    For work that is complete by then: a frame that still reads such a path cannot be used after.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(

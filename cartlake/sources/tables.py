@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -13,6 +15,9 @@ from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
 MODES = ("append", "overwrite", "partitions")
 
+# The scope of an overwrite is a setting of the session, which writers in other threads share.
+_SCOPE = threading.Lock()
+
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}/{namespace}'" if location else ""
@@ -35,9 +40,10 @@ def write_table(
     """Write ``df`` to the table ``name`` and return the number of rows written.
 
     The rows are counted by the write itself, in its last stage, where a re-run task does
-    not count twice. ``overwrite`` replaces the table,
-    ``append`` adds to it, ``partitions`` replaces only the partitions present in ``df``
-    and adds new ones.
+    not count twice. ``overwrite`` replaces the table: the rows go to a table of another name,
+    which takes the place of the old one once it is complete, so a failed write leaves the old
+    rows. ``append`` adds to the table, ``partitions`` replaces only the partitions present
+    in ``df`` and adds new ones.
 
     A partitioned write gathers the rows of a partition first, so tasks do not each open a
     file in every partition; the rebalance cuts large partitions into several tasks.
@@ -57,23 +63,54 @@ def write_table(
             # insertInto matches columns by position.
             df.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
     else:
-        writer = df.write.format(file_format).mode("append" if mode == "append" else "overwrite")
+        replace = mode != "append" and spark.catalog.tableExists(name)
+        target = f"{name}__{uuid.uuid4().hex}" if replace else name
+        writer = df.write.format(file_format).mode("append" if mode == "append" else "errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(name)
+        try:
+            writer.saveAsTable(target)
+        except Exception:
+            if replace:
+                spark.sql(f"DROP TABLE IF EXISTS {target}")
+            raise
+        if replace:
+            _swap(spark, target, name)
     return written.get["rows"]
 
 
+def _swap(spark: SparkSession, new: str, name: str) -> None:
+    """Put the table ``new`` in the place of ``name``; the old one goes only after that."""
+    old = f"{name}__{uuid.uuid4().hex}"
+    _rename(spark, name, old)
+    try:
+        _rename(spark, new, name)
+    except Exception:
+        _rename(spark, old, name)
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    if any(c.isPartition for c in spark.catalog.listColumns(to)):
+        # Not every catalog moves the places of partitions along with their table.
+        spark.sql(f"MSCK REPAIR TABLE {to} DROP PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {to} ADD PARTITIONS")
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    # insertInto takes the overwrite scope from the session, not from writer options.
+    # insertInto takes the overwrite scope from the session, not from writer options. One writer
+    # at a time may change it, from setting it to the end of its insert.
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _SCOPE:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def dlq_records(rejects: DataFrame, reason: str | None = None) -> DataFrame:
@@ -90,9 +127,14 @@ def write_dlq(
     reason: str | None = None,
     some: bool = False,
     file_format: str = "parquet",
+    replace: Sequence[str] = (),
 ) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
+    The table is partitioned by reason. For the reasons in ``replace`` the rows take the place
+    of all earlier ones, also if there are none now: a rebuild from the same rows gives the
+    same dead letters again, not more of them.
+
     Columns the table does not have yet are added to it; columns the rows lack are NULL.
     A failure raises: rejects are not lost silently. Without rejects no table is made;
     ``some`` says that there are rejects, which saves looking for a first one.
@@ -102,7 +144,7 @@ def write_dlq(
     if not spark.catalog.tableExists(table):
         if not some and rejects.isEmpty():
             return 0
-        return write_table(records, table, mode="append", file_format=file_format)
+        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
     have = spark.table(table).schema
     new = [f for f in records.schema.fields if f.name not in have.names]
     if new:
@@ -112,4 +154,16 @@ def write_dlq(
         F.col(f"`{f.name}`") if f.name in records.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema.fields
     ]
-    return write_table(records.select(*aligned), table, mode="append", file_format=file_format)
+    records = records.select(*aligned)
+    if not replace:
+        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
+    seen = Observation()
+    records = records.observe(seen, F.collect_set(DLQ_REASON).alias("reasons"))
+    rows = write_table(records, table, "partitions", (DLQ_REASON,), file_format=file_format)
+    # Reasons that no row has any more. One row per reason meets the driver.
+    known = {r[0] for r in spark.table(table).select(DLQ_REASON).distinct().collect()}
+    stale = (known & set(replace)) - set(seen.get["reasons"])
+    if stale:
+        rest = spark.table(table).where(~F.col(DLQ_REASON).isin(*stale))
+        write_table(rest, table, "overwrite", (DLQ_REASON,), file_format=file_format)
+    return rows

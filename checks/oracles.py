@@ -101,6 +101,8 @@ ITEM = "order_id, order_item_id, product_id, seller_id, price, freight_value"
 # The total order behind the surviving row of a key.
 RANK = """row_number() OVER (PARTITION BY order_id, order_item_id
     ORDER BY product_id NULLS FIRST, seller_id NULLS FIRST, price NULLS FIRST, freight_value NULLS FIRST)"""
+# The same where identifiers are text.
+TEXT_RANK = RANK.replace("product_id", "cast(product_id AS varchar)").replace("seller_id", "cast(seller_id AS varchar)")
 NULL_KEYED = """SELECT order_id, order_item_id, nullif(product_id, 7) AS product_id,
     nullif(seller_id, 3) AS seller_id, price, freight_value FROM items"""
 NO_LINE = """SELECT order_id, nullif(order_item_id, 7) AS order_item_id, product_id, seller_id,
@@ -154,6 +156,25 @@ GOLD = {
     "fact_order_sales": f"SELECT count(*) FROM {UNIQUE_ITEMS} JOIN r_orders USING (order_id)",
 }
 
+# The calendar of ``checks.queries``: some of the days, with quarters that start a month later.
+CALENDAR = """
+    SELECT cast(d AS date) AS d, year(d) AS y, ceil(((month(d) + 10) % 12 + 1) / 3) AS q,
+           dayofweek(d) IN (0, 6) AS w
+    FROM unnest(generate_series(DATE '1996-01-01', DATE '1997-06-30', INTERVAL 1 DAY)) AS t(d)"""
+
+
+def _by_calendar(fact: str, amount: str, total: str, rows: str) -> str:
+    return f"""
+        SELECT cast(coalesce(y, year(day)) AS integer) AS "year",
+               cast(coalesce(q, quarter(day)) AS integer) AS "quarter",
+               coalesce(w, dayofweek(day) IN (0, 6)) AS is_weekend,
+               cast(sum({amount}) AS double) AS {total}, count(*) AS {rows}
+        FROM (SELECT *, CASE WHEN order_status <> 'P' THEN cast(order_purchase_timestamp AS date) END AS day
+              FROM {fact})
+             LEFT JOIN calendar ON d = day
+        GROUP BY 1, 2, 3"""
+
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "csv_source_typed": f"SELECT {ORDER_COLUMNS} FROM orders",
@@ -165,6 +186,33 @@ ORACLES: dict[str, str] = {
         FROM customer
         UNION ALL SELECT 'orders.csv', count(*) + 1, count(*), 'MISMATCH' FROM orders
         UNION ALL SELECT 'supplier.csv', count(*), NULL, 'MISSING' FROM supplier""",
+    "csv_column_orders": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "csv_decimal_places": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 2.5::DOUBLE END AS price,
+               CASE WHEN o_orderstatus = 'P' THEN o_orderkey || ',1.005' END AS record
+        FROM orders""",
+    "bronze_keeps_bad_timestamps": _with("""
+        SELECT order_id,
+               CASE WHEN order_status <> 'P' THEN order_purchase_timestamp END AS order_purchase_timestamp,
+               CASE WHEN order_status <> 'F' THEN order_approved_at END AS order_approved_at
+        FROM r_orders"""),
+    "partition_range_of_another_zone": """
+        SELECT o_orderkey, o_orderdate FROM orders
+        WHERE o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '1997-05-01'""",
+    "silver_partition_refresh": _with("""
+        SELECT order_id, CASE WHEN "year" = 1996 THEN 'Z' ELSE order_status END AS order_status,
+               order_purchase_timestamp, "year", "month"
+        FROM r_orders"""),
+    "silver_loads_reject_once": _with(
+        f"""SELECT CASE WHEN rn > 1 THEN 'Duplicate Primary Key' ELSE 'Null Primary Key' END AS _dlq_reason,
+                   count(*) AS rejects
+            FROM (SELECT *, {RANK} AS rn FROM keyed) WHERE rn > 1 OR order_item_id IS NULL GROUP BY 1""",
+        keyed=NO_LINE,
+    ),
+    "stamps_and_guards": """
+        SELECT count(*) AS ingested, count(*) AS updated, count(*) AS n, 0 AS empty, true AS same_columns,
+               'yes' AS guarded
+        FROM orders""",
     "bronze_append": _with("SELECT * FROM customers UNION ALL SELECT * FROM customers"),
     "bronze_skip_loaded": _with("SELECT * FROM customers"),
     "overwrite_table": f"SELECT {ORDER_COLUMNS} FROM orders",
@@ -307,11 +355,21 @@ ORACLES: dict[str, str] = {
                      order_delivered_customer_date <= order_estimated_delivery_date AS on_time
               FROM sales WHERE order_delivered_customer_date IS NOT NULL)
         GROUP BY month_start ORDER BY month_start"""),
-    "sales_by_calendar": _with("""
-        SELECT "year", cast(quarter(order_purchase_timestamp) AS integer) AS "quarter",
-               dayofweek(order_purchase_timestamp) IN (0, 6) AS is_weekend,
-               cast(sum(price) AS double) AS revenue, count(*) AS items
-        FROM sales GROUP BY ALL"""),
+    "payments_by_customer_state": _with("""
+        SELECT customer_state, cast(sum(payment_value) AS double) AS paid, count(*) AS payments
+        FROM paid LEFT JOIN customers USING (customer_id) GROUP BY customer_state"""),
+    "sales_by_calendar": _with(
+        _by_calendar("sales", "price", "revenue", "items"), calendar=CALENDAR
+    ),
+    "payments_by_calendar": _with(
+        _by_calendar("paid", "payment_value", "paid", "payments"), calendar=CALENDAR
+    ),
+    "sums_of_any_double": """
+        SELECT l_returnflag, CASE l_returnflag WHEN 'A' THEN 'no number' WHEN 'R' THEN 'large' ELSE 'plain' END
+                   AS size,
+               CASE WHEN l_returnflag NOT IN ('A', 'R')
+                   THEN round(cast(sum(cast(l_extendedprice AS decimal(18, 2))) AS double), 2) END AS total
+        FROM lineitem GROUP BY l_returnflag""",
     "top_categories_deduplicated": _with(
         """SELECT product_category_name, cast(sum(price) AS double) AS revenue
            FROM kept JOIN orders ON o_orderkey = order_id LEFT JOIN products USING (product_id)
@@ -324,6 +382,14 @@ ORACLES: dict[str, str] = {
                arg_max(event_id, ts) AS rows_processed,
                CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status
         FROM events GROUP BY event_type, user_id""",
+    "published_master_sales": _with(
+        "SELECT * REPLACE (cast(price AS double) AS price, cast(freight_value AS double) AS freight_value) FROM wide",
+        sales=f"""
+            SELECT kept.*, customer_id, order_status, order_purchase_timestamp, order_approved_at,
+                   order_delivered_customer_date, order_estimated_delivery_date, "year", "month", avg_review_score
+            FROM (SELECT {ITEM} FROM (SELECT *, {TEXT_RANK} AS rn FROM items) WHERE rn = 1) AS kept
+                 JOIN r_orders USING (order_id) LEFT JOIN scores USING (order_id)""",
+    ),
     "medallion_audit": _with(
         " UNION ALL ".join(
             [

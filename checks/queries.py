@@ -13,10 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartlake.functions.exact import exact_sum
 from cartlake.operators.columns import (
     between_dates,
     cast_timestamp,
+    empty_like,
+    require_columns,
     sanitize_columns,
+    stamp_ingested,
+    stamp_updated,
     with_partition_columns,
 )
 from cartlake.operators.duplicates import profile_keys, split_duplicates
@@ -30,6 +35,7 @@ from cartlake.sources.scratch import scratch_path, scratch_root
 from cartlake.sources.tables import dlq_records, ensure_namespace, write_dlq, write_table
 from cartlake.specs import (
     CORRUPT_RECORD,
+    DLQ_REASON,
     DLQ_TIMESTAMP,
     INGESTED_AT,
     MONEY,
@@ -112,19 +118,62 @@ def csv_corrupt_rows(spark, sf_dir):
 
 @_register
 def raw_line_audit_report(spark, sf_dir):
-    """Customers match, orders are said to have one line more, suppliers have no file."""
-    root = scratch_path(spark, "raw")
-    counted = []
-    for name, extra in (("customer", 0), ("orders", 1), ("supplier", 0)):
+    """Customers match, orders are said to have one line more, suppliers have no file.
+
+    The folder has a blank in its name, and a file that nobody asks for.
+    """
+    root = scratch_path(spark, "raw files")
+    expected = {}
+    for name, extra in (("customer", 0), ("orders", 1), ("supplier", 0), ("part", 0)):
         df = standin.table(spark, sf_dir, name)
         if name != "supplier":
             df.write.csv(f"{root}/{name}.csv", escape='"')
-        counted.append(
-            df.agg((F.count(F.lit(1)) + extra).alias("expected_lines")).select(
-                F.lit(f"{name}.csv").alias("source"), "expected_lines"
-            )
-        )
-    return raw_line_audit(spark, root, counted[0].unionByName(counted[1]).unionByName(counted[2]))
+        if name != "part":
+            expected[f"{name}.csv"] = df.count() + extra
+    return raw_line_audit(spark, root, expected)
+
+
+@_register
+def csv_column_orders(spark, sf_dir):
+    """Two files with the same columns in another order, read by name."""
+    root = scratch_path(spark, "orders-csv")
+    orders = standin.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    even = F.col("o_orderkey") % 2 == 0
+    orders.where(even).write.csv(f"{root}/a", header=True)
+    orders.where(~even).select("o_orderstatus", "o_custkey", "o_orderkey").write.csv(f"{root}/b", header=True)
+    types = {"o_orderkey": T.LongType(), "o_custkey": T.LongType(), "o_orderstatus": T.StringType()}
+    df = read_csv_typed(spark, [f"{root}/a", f"{root}/b"], types, mixed_headers=True)
+    return split_corrupt(df)[0]
+
+
+@_register
+def csv_decimal_places(spark, sf_dir):
+    """Prices of pending orders have a third place, which money cannot hold."""
+    path = scratch_path(spark, "orders-csv")
+    standin.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderstatus = 'P' THEN '1.005' ELSE '2.50' END AS price"
+    ).write.csv(path, header=True)
+    df = read_csv_typed(spark, path, {"o_orderkey": T.LongType(), "price": MONEY})
+    return df.select("o_orderkey", F.col("price").cast("double").alias("price"), F.col(CORRUPT_RECORD).alias("record"))
+
+
+@_register
+def bronze_keeps_bad_timestamps(spark, sf_dir):
+    """Orders with a malformed purchase or approval time reach silver, with NULL in its place."""
+    root, layers = scratch_path(spark, "raw"), _layers(spark)
+    standin.orders(spark, sf_dir).selectExpr(
+        "order_id",
+        "CASE WHEN order_status = 'P' THEN 'then' ELSE cast(order_purchase_timestamp AS string) END"
+        " AS order_purchase_timestamp",
+        "CASE WHEN order_status = 'F' THEN 'now?' ELSE cast(order_approved_at AS string) END AS order_approved_at",
+    ).write.csv(f"{root}/orders.csv", header=True)
+    at = {n: T.TimestampNTZType() for n in ("order_purchase_timestamp", "order_approved_at")}
+    spec = TableSpec(
+        "orders", "orders.csv", ("order_id",), "order_purchase_timestamp", types={"order_id": T.LongType(), **at}
+    )
+    bronze.load(spark, spec, root, layers)
+    silver.load(spark, spec, layers)
+    return _plain(spark.table(f"{layers.silver}.orders"))
 
 
 @_register
@@ -181,6 +230,19 @@ def partition_pruned_range(spark, sf_dir):
     return between_dates(df, dt.date(1996, 3, 15), dt.date(1997, 2, 10), "o_orderdate")
 
 
+@_register
+def partition_range_of_another_zone(spark, sf_dir):
+    """Partitions made from instants of another time zone; the range is that of the session."""
+    name = _fresh_table(spark)
+    orders = standin.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    at = F.to_utc_timestamp("o_orderdate", "UTC")
+    away = F.from_utc_timestamp(at, "America/Sao_Paulo")
+    parts = {"year": F.year(away), "month": F.month(away)}
+    write_table(orders.withColumns(parts), name, partition_by=("year", "month"))
+    found = between_dates(spark.table(name), dt.date(1997, 3, 1), dt.date(1997, 4, 30), "o_orderdate")
+    return found.select("o_orderkey", "o_orderdate")
+
+
 @_register
 def dynamic_partition_overwrite(spark, sf_dir):
     """The partitions of 1996 are replaced, the other years stay."""
@@ -345,6 +407,53 @@ def silver_bad_timestamps(spark, sf_dir):
     return _plain(silver.cleanse(df, _ORDERS, profile_keys(df, ("order_id",))).rejects)
 
 
+def _bronze_orders(spark, layers: Layers, df: DataFrame) -> TableSpec:
+    ensure_namespace(spark, layers.bronze, layers.location)
+    write_table(df, f"{layers.bronze}.orders")
+    return TableSpec("orders", "", ("order_id",), "order_purchase_timestamp", ("year", "month"))
+
+
+@_register
+def silver_partition_refresh(spark, sf_dir):
+    """Orders of 1996 come again with another status; the other partitions stay."""
+    layers = _layers(spark)
+    orders = standin.orders(spark, sf_dir).select("order_id", "order_status", "order_purchase_timestamp")
+    silver.load(spark, _bronze_orders(spark, layers, orders), layers)
+    again = orders.where("year(order_purchase_timestamp) = 1996").withColumn("order_status", F.lit("Z"))
+    silver.load(spark, _bronze_orders(spark, layers, again), layers, mode="partitions")
+    return _plain(spark.table(f"{layers.silver}.orders"))
+
+
+@_register
+def silver_loads_reject_once(spark, sf_dir):
+    """Three loads of one bronze table leave its rejects once."""
+    layers = _layers(spark)
+    ensure_namespace(spark, layers.bronze, layers.location)
+    write_table(_items_without_line(spark, sf_dir), f"{layers.bronze}.order_items")
+    for _ in range(3):
+        silver.load(spark, _ITEMS, layers)
+    rejected = spark.table(f"{layers.dlq}.order_items_rejected")
+    return rejected.groupBy(DLQ_REASON).agg(F.count(F.lit(1)).alias("rejects"))
+
+
+@_register
+def stamps_and_guards(spark, sf_dir):
+    """Stamps are set in every row, an empty frame keeps the columns, a missing one raises."""
+    orders = standin.table(spark, sf_dir, "orders")
+    stamped = stamp_updated(stamp_ingested(orders))
+    try:
+        require_columns(orders, ["no_such_column"])
+        guarded = "no"
+    except ValueError:
+        guarded = "yes"
+    found = stamped.agg(
+        F.count(INGESTED_AT).alias("ingested"), F.count(UPDATED_AT).alias("updated"), F.count(F.lit(1)).alias("n")
+    )
+    empty = empty_like(orders).agg(F.count(F.lit(1)).alias("empty"))
+    same = F.lit(empty_like(orders).schema == orders.schema).alias("same_columns")
+    return found.join(empty).select("*", same, F.lit(guarded).alias("guarded"))
+
+
 # --- gold --------------------------------------------------------------------
 
 
@@ -431,11 +540,61 @@ for _m in (
     metrics.payment_types,
     metrics.installment_histogram,
     metrics.delivery_performance,
-    metrics.sales_by_calendar,
+    metrics.payments_by_customer_state,
 ):
     _metric(_m)
 
 
+# Shorter than the range of the orders.
+CALENDAR = (dt.date(1996, 1, 1), dt.date(1997, 6, 30))
+
+
+class _ShortCalendar(standin.StandInStar):
+    """Pending orders have no purchase time, and the calendar ends before the orders do."""
+
+    @property
+    def dim_dates(self) -> DataFrame:
+        days = gold.dim_dates(self._args[0], *CALENDAR)
+        # A calendar of its own kind: quarters start one month later.
+        return days.withColumn("quarter", F.expr("cast(ceil((pmod(month - 2, 12) + 1) / 3) AS int)"))
+
+    def _undated(self, fact: DataFrame) -> DataFrame:
+        at = F.expr("CASE WHEN order_status <> 'P' THEN order_purchase_timestamp END")
+        return fact.withColumn("order_purchase_timestamp", at)
+
+    @property
+    def fact_order_sales(self) -> DataFrame:
+        return self._undated(super().fact_order_sales)
+
+    @property
+    def fact_order_payments(self) -> DataFrame:
+        return self._undated(super().fact_order_payments)
+
+
+@_register
+def sales_by_calendar(spark, sf_dir):
+    return metrics.sales_by_calendar(_ShortCalendar(spark, sf_dir))
+
+
+@_register
+def payments_by_calendar(spark, sf_dir):
+    return metrics.payments_by_calendar(_ShortCalendar(spark, sf_dir))
+
+
+@_register
+def sums_of_any_double(spark, sf_dir):
+    """Sums of doubles: plain ones, with a NaN, and with a number that no decimal holds."""
+    prices = standin.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_returnflag",
+        "CASE WHEN l_returnflag = 'A' AND l_linenumber = 1 THEN double('NaN')"
+        " WHEN l_returnflag = 'R' AND l_orderkey = 1 THEN 1e19 ELSE l_extendedprice END AS price",
+    )
+    total = exact_sum(prices, "price")
+    size = F.when(F.isnan(total), "no number").when(total >= 1e19, "large").otherwise("plain")
+    small = F.when(total < 1e19, F.round(total, 2))
+    return prices.groupBy("l_returnflag").agg(size.alias("size"), F.when(~F.isnan(total), small).alias("total"))
+
+
 @_register
 def top_categories_deduplicated(spark, sf_dir):
     """From raw items to the dashboard: duplicates out, fact, product names, ten best."""
@@ -463,18 +622,35 @@ def run_audit_latest(spark, sf_dir):
     return _plain(latest.select("layer", "table", "last_run", "rows_processed", "status"))
 
 
-@_register
-def medallion_audit(spark, sf_dir):
-    """Raw CSV files of all nine tables through all layers; the run records of each table."""
+def _whole_run(spark, sf_dir) -> Layers:
+    """Raw CSV files of all nine tables through all layers."""
     root, layers = scratch_path(spark, "raw"), _layers(spark)
     for name, make in standin.TABLES.items():
         make(spark, sf_dir).write.csv(f"{root}/{name}.csv", header=True, escape='"')
-    medallion.run(
-        spark, root, retail_specs(multi_line=False), layers, first=standin.FIRST_DATE, last=standin.LAST_DATE
-    )
+    # The stand-in's reviews have no cells with line breaks.
+    specs = retail_specs(multi_line=False)
+    medallion.run(spark, root, specs, layers, first=standin.FIRST_DATE, last=standin.LAST_DATE)
+    return layers
+
+
+@_register
+def medallion_audit(spark, sf_dir):
+    """The run records of each table of a whole run."""
+    layers = _whole_run(spark, sf_dir)
     runs = latest_runs(load_runs(spark, medallion.audit_table(layers)))
     return runs.select("layer", "table", "rows_processed", "status", "rows_rejected")
 
 
+@_register
+def published_master_sales(spark, sf_dir):
+    """The wide view as a whole run publishes it, from CSV to the catalog."""
+    layers = _whole_run(spark, sf_dir)
+    wide = spark.table(f"{layers.bi}.{views.MASTER_SALES}")
+    numbers = ("order_id", "customer_id", "customer_unique_id")
+    at = [c for c, kind in wide.dtypes if kind == "timestamp"]
+    wide = wide.withColumns({c: F.col(c).cast("bigint") for c in numbers})
+    return _plain(wide.withColumns({c: F.col(c).cast("timestamp_ntz") for c in at}))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_categories_deduplicated(spark, sf_dir)

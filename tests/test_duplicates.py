@@ -115,17 +115,31 @@ def test_profiled_split_of_few_repeated_keys(spark):
     df = spark.createDataFrame(data, "k int, v int").repartition(4)
     profile = profile_keys(df, ["k"], slice_rows=10)
     assert (profile.rows, profile.n_repeated, profile.surplus) == (1121, 2, 121)
-    assert [h.slices for h in profile.heavy] == [13]
+    assert rows(profile.heavy, "__slices") == [(13,)]
     valid, rejects = split_duplicates(df, ["k"], profile=profile)
     assert rows(valid) == kept and rows(rejects) == rejected
 
 
-def test_many_repeated_keys_skip_the_pass_through(spark, monkeypatch):
-    monkeypatch.setattr(duplicates, "PASS_THROUGH_KEYS", 1)
-    data = [(i, 0) for i in range(100)] + [(3, 1), (4, 1)]
-    df = spark.createDataFrame(data, "k int, v int")
+def test_maps_within_lists_and_structs(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, array(map('b', 1))), (1, array(map('a', 1), NULL)), (1, NULL), (2, array()) AS t(k, m)"
+    ).withColumn("s", F.struct(F.col("m"), F.map_from_arrays(F.array(F.lit("x")), F.array("m")).alias("n")))
+    valid, rejects = split_duplicates(df, ["k"])
+    assert [(r.k, r.m) for r in valid.orderBy("k").collect()] == [(1, None), (2, [])]
+    assert sorted(str(r.m) for r in rejects.collect()) == ["[{'a': 1}, None]", "[{'b': 1}]"]
+
+
+def test_scans_of_one_load(spark, tmp_path):
+    """Repeated and NULL keys: profile, touched and untouched rows are one scan each."""
+    path = str(tmp_path / "t")
+    data = [(i, 0) for i in range(100)] + [(3, 1), (4, 1), (None, 1), (None, 2)]
+    spark.createDataFrame(data, "k int, v int").write.parquet(path)
+    df = spark.read.parquet(path)
     valid, rejects = split_duplicates(df, ["k"], profile=profile_keys(df, ["k"]))
-    assert (rows(valid), rows(rejects)) == brute_force(data)
+    kept, rejected = brute_force(data)
+    assert (rows(valid), rows(rejects)) == (kept, rejected)
+    assert final_plan(valid).count(path) == 1
+    assert path not in final_plan(rejects)
 
 
 def test_rows_with_very_many_copies_are_written_in_portions(spark, monkeypatch):
@@ -157,5 +171,7 @@ def test_profile_counts_null_keys(spark):
     assert (p.rows, p.null_key_rows, p.n_repeated, p.surplus) == (6, 2, 2, 3)
     assert p.duplicate_ratio == 0.5
     assert rows(p.repeated) == [("A", 3), (None, 2)]
+    single = profile_keys(df.where("v = 1"), ["k"])
+    assert (single.n_repeated, rows(single.touched)) == (0, [(None, 1)])
     empty = profile_keys(df.where("false"), ["k"])
     assert (empty.rows, empty.n_repeated, empty.duplicate_ratio) == (0, 0, 0.0)

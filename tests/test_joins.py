@@ -2,7 +2,7 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
-from cartlake.operators.joins import HeavyKey, heavy_keys, spread_join
+from cartlake.operators.joins import heavy_keys, spread_join
 
 
 @pytest.fixture
@@ -21,9 +21,20 @@ def test_heavy_keys_are_found(sides):
     left, _ = sides
     hot = left.where("k = 7").select(F.xxhash64("k")).first()[0]
     n = left.where("k = 7").count()
-    assert heavy_keys(left, ["k"], slice_rows=100) == [HeavyKey(hot, -(-n // 100))]
-    assert heavy_keys(left, ["k"]) == []
-    assert heavy_keys(left.where("false"), ["k"], slice_rows=1) == []
+    assert rows(heavy_keys(left, ["k"], slice_rows=100)) == [(hot, -(-n // 100))]
+    assert heavy_keys(left, ["k"]) is None
+    assert heavy_keys(left.where("false"), ["k"], slice_rows=1) is None
+
+
+@pytest.mark.parametrize("keys, each, rest", [(400, 5, 98_000), (1500, 3, 0)])
+def test_all_heavy_keys_are_found_and_spread(spark, keys, each, rest):
+    """400 keys of 1/20,000 of the rows each among single ones, and 1,500 heavy keys."""
+    hot = spark.range(keys * each).selectExpr(f"id % {keys} AS k", "id AS v")
+    left = hot.unionByName(spark.range(rest).selectExpr(f"id + {keys} AS k", "id AS v")).repartition(4)
+    heavy = heavy_keys(left, ["k"], slice_rows=each - 1)
+    assert heavy.count() == keys and rows(heavy.select("__slices").distinct()) == [(2,)]
+    right = spark.range(keys + rest).selectExpr("id AS k", "-id AS w")
+    assert spread_join(left, right, ["k"], "inner", heavy).where("k = -w").count() == keys * each + rest
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -31,10 +42,10 @@ def test_heavy_keys_are_found(sides):
 def test_same_rows_as_a_plain_join(sides, how, null_safe):
     left, right = sides
     heavy = heavy_keys(left, ["k"], slice_rows=15)
-    assert len(heavy) > 1
+    assert heavy.count() > 1
     on = left["k"].eqNullSafe(right["k"]) if null_safe else left["k"] == right["k"]
     plain = left.join(right, on, how).select(left["k"], "v", *(["w"] if how in ("inner", "left") else []))
-    for found in (heavy, []):
+    for found in (heavy, None):
         spread = spread_join(left, right, ["k"], how, found, null_safe)
         assert spread.columns == plain.columns
         assert rows(spread) == rows(plain)
@@ -50,7 +61,7 @@ def test_hot_key_is_spread_over_partitions(spark, conf, sides):
         joined = spread_join(left, right, ["k"], "inner", heavy)
         return joined.where("k = 7").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
-    assert largest([]) == left.where("k = 7").count() > 300
+    assert largest(None) == left.where("k = 7").count() > 300
     assert largest(heavy_keys(left, ["k"], slice_rows=20)) < 100
 
 

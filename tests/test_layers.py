@@ -272,16 +272,16 @@ def test_a_failed_gold_table_does_not_stop_the_others(spark, layers, raw, monkey
     medallion.run_silver(spark, specs, layers)
     write = gold.write_table
 
-    def broken(df, name, **options):
-        if name.endswith(".dim_sellers"):
+    def broken(df, name, *args, **options):
+        if name.endswith((".dim_sellers", ".dim_dates")):
             raise OSError("disk full")
-        return write(df, name, **options)
+        return write(df, name, *args, **options)
 
     monkeypatch.setattr(gold, "write_table", broken)
-    with pytest.raises(OSError, match="disk full"):
+    with pytest.raises(gold.GoldFailed, match="dim_dates: disk full; dim_sellers: disk full"):
         medallion.run_gold(spark, layers)
     runs = load_runs(spark, medallion.audit_table(layers)).where("layer = 'gold'")
-    assert rows(runs.groupBy("status").count()) == [("FAILED", 1), ("SUCCESS", 6)]
+    assert rows(runs.groupBy("status").count()) == [("FAILED", 1), ("SUCCESS", 5)]
 
 
 def test_gold_without_silver_is_recorded_as_failed(spark, layers):

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import final_plan, rows
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from cartlake.operators.columns import between_dates, with_partition_columns
 from cartlake.sources import scratch
 from cartlake.sources.audit import FAILED, PARTIAL, latest_runs, load_runs, record_run
-from cartlake.sources.scratch import materialize, scratch_root
+from cartlake.sources.scratch import materialize, released, scratch_root
 from cartlake.sources.tables import dlq_records, ensure_namespace, read_table, write_dlq, write_table
 
 
@@ -171,3 +173,56 @@ def test_scratch_folder_comes_from_the_session(monkeypatch, spark):
     assert scratch_root(_Session(**{"spark.master": "local[2]"})) == scratch._local_folder()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(_Session(**{"spark.master": "yarn"}))
+
+
+def _failing(df):
+    return df.withColumn("bad", F.raise_error(F.lit("no more")))
+
+
+def test_failed_replacement_keeps_the_old_rows(spark, name):
+    write_table(days(spark), name, partition_by=("year",))
+    before = spark.table(name).count()
+    with pytest.raises(Exception, match="no more"):
+        write_table(_failing(days(spark)), name, partition_by=("year",))
+    assert spark.table(name).count() == before
+    space, _, short = name.rpartition(".")
+    assert [t.name for t in spark.catalog.listTables(space) if t.name.startswith(short)] == [short]
+
+
+def test_a_table_can_be_replaced_from_itself(spark, name):
+    write_table(spark.range(5), name)
+    assert write_table(spark.table(name).where("id > 1"), name) == 3
+    assert rows(spark.table(name)) == [(2,), (3,), (4,)]
+
+
+def test_two_partition_writers_at_once(spark, layers):
+    ensure_namespace(spark, layers.silver, layers.location)
+    names = [f"{layers.silver}.t{i}" for i in range(4)]
+    df = spark.range(100).selectExpr("id", "id % 4 AS part")
+    for n in names:
+        write_table(df, n, partition_by=("part",))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: write_table(df.where("part = 1"), n, "partitions", ("part",)), names * 2))
+    assert [spark.table(n).count() for n in names] == [100] * 4
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_replaced_dead_letters(spark, name):
+    def reject(ids, reason):
+        return spark.createDataFrame([(i, reason) for i in ids], "id bigint, _dlq_reason string")
+
+    write_dlq(reject([1, 2], "a").unionByName(reject([3], "b")), name, replace=("a", "b"))
+    write_dlq(reject([9], "kept"), name)
+    write_dlq(reject([1, 2, 4], "a").unionByName(reject([3], "b")), name, replace=("a", "b"))
+    assert rows(spark.table(name), "id", "_dlq_reason") == [(1, "a"), (2, "a"), (3, "b"), (4, "a"), (9, "kept")]
+    write_dlq(reject([5], "a"), name, replace=("a", "b"))
+    assert rows(spark.table(name), "id", "_dlq_reason") == [(5, "a"), (9, "kept")]
+
+
+def test_scratch_is_released(spark):
+    with released(spark):
+        kept, _ = materialize(spark.range(3), "for-a-while")
+        path = kept.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert kept.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path)
