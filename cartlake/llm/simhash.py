@@ -295,11 +295,12 @@ def _split(keys: DataFrame, heavy: DataFrame, lead: int, budget: int, node_rows:
         children, _ = materialize(children, "trie-nodes")
         left = children.select("perm", F.col("up").alias("a"), F.col("node").alias("a2"), F.col("n").alias("na"))
         right = children.select("perm", F.col("up").alias("b"), F.col("node").alias("b2"), F.col("n").alias("nb"))
-        diff = F.col("diff") + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
+        # Prefixes hold all bits from the top on, so this counts every differing bit so far.
+        diff = F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
         down = (
             pairs.join(left, ["perm", "a"])
             .join(right, ["perm", "b"])
-            .where("a < b OR a2 <= b2")
+            .where("a <> b OR a2 <= b2")
             .withColumn("diff", diff)
             .where(F.col("diff") <= budget)
             .select("perm", F.col("a2").alias("a"), F.col("b2").alias("b"), "diff", "na", "nb")
