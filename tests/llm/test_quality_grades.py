@@ -1,0 +1,103 @@
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+from texts import EDGES, edges, empty
+
+from cartlake.llm.quality import Features, OrdinalModel, Scorer, fit, fit_quality, grade_documents, grade_of
+
+LARGER = SF_DIR.replace("sf0.001", "sf0.1")
+
+
+def test_features_do_not_depend_on_length():
+    f = Features()
+    (a, x), (b, y) = f("Some words!! 12 here.\n"), f("Some words!! 12 here.\n" * 50)
+    # All but how far lines and words repeat.
+    same = np.intersect1d(a, b)
+    assert len(same) == len(a) - 2 == len(b) - 2
+    assert np.allclose(x[np.isin(a, same)], y[np.isin(b, same)])
+    assert all(len(f(t)[0]) == 0 for t in ("", " \n\t"))
+    assert len(f("x " * 200_000)[0]) > 0
+
+
+def test_scores_are_those_of_all_features():
+    rnd = np.random.default_rng(3)
+    weights = np.where(rnd.random(1 << 18) < 0.3, rnd.normal(size=1 << 18), 0).astype(np.float32)
+    model = OrdinalModel(weights, np.array([0.0, 1.0]), 18)
+    score, features = Scorer(model), Features()
+    assert score(" ") is None
+    for text in ("One two THREE!! | 4", "a b\nc\nc\nc d " * 30, EDGES[6][1], EDGES[5][1]):
+        slots, values = features(text)
+        assert np.isclose(score(text), weights[slots] @ values)
+
+
+def test_fit_orders_grades():
+    rnd = np.random.default_rng(1)
+    rows = []
+    for _ in range(600):
+        grade = int(rnd.integers(0, 4))
+        slots = np.unique(np.r_[grade, 10 + rnd.integers(0, 50, 5)])
+        rows.append((grade, slots, np.ones(len(slots))))
+    model = fit(rows, grades=4, bits=8)
+    assert (np.diff(model.thresholds) > 0).all()
+    scores = np.array([float(model.weights[s] @ v) for _, s, v in rows])
+    expected = model.tails(scores).sum(1)
+    means = [expected[[r[0] == g for r in rows]].mean() for g in range(4)]
+    assert means == sorted(means) and means[3] - means[0] > 2
+    tails = model.tails(scores)
+    assert (np.diff(tails, axis=1) <= 0).all()
+
+
+def test_gradient_is_that_of_the_loss():
+    """One step against the sign of each gradient lowers the loss."""
+    rnd = np.random.default_rng(5)
+    rows = [(int(g), np.array([int(g)]), np.ones(1)) for g in rnd.integers(0, 3, 90)]
+
+    def loss(model):
+        p = 0
+        for g, s, v in rows:
+            tails = np.r_[1, model.tails(np.array([float(model.weights[s] @ v)]))[0], 0]
+            p -= np.log(tails[g] - tails[g + 1])
+        return p
+
+    losses = [loss(fit(rows, bits=4, rounds=n)) for n in (1, 10, 40, 160)]
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 30
+
+
+def test_held_out_documents(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = fit_quality(docs, labels.where("doc_id % 2 = 0"))
+    assert (np.diff(model.thresholds) > 0).all()
+    graded = grade_documents(docs, model)
+    held = graded.join(labels.where("doc_id % 2 = 1"), "doc_id").withColumn("truth", grade_of())
+    kept = {r.truth: (r.kept, r.n) for r in held.groupBy("truth").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    assert kept[2][1] > 100 and kept[2][0] > 0.99
+    # Some 2000 labelled documents.
+    assert kept[0][0] < 0.06 and kept[1][0] < 0.1
+    means = {r.truth: r.m for r in held.groupBy("truth").agg(F.avg("expected_grade").alias("m")).collect()}
+    assert means[0] < means[1] < means[2]
+
+
+def test_edges(spark):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 0, 0), (6, 1, 1), (7, None, 1), (99, 1, 1), (8, 1, 0), (8, 0, 0)],
+        "doc_id bigint, quality int, toxic int",
+    )
+    model = fit_quality(edges(spark), labels)
+    graded = grade_documents(edges(spark).withColumn("grade", F.lit("old")), model).collect()
+    assert len(graded) == len(EDGES)
+    for r in graded:
+        assert 0 <= r.tail_probability <= 1 and r.tail_probability <= r.expected_grade <= 2
+        assert r.kept == (r.tail_probability >= 0.5)
+        if not (r.text or "").strip():
+            assert (r.grade, r.kept, r.expected_grade) == (0, False, 0.0)
+    assert grade_documents(empty(spark), model).count() == 0
+    unfitted = fit_quality(edges(spark), labels.where("false"))
+    assert not unfitted.weights.any() and grade_documents(edges(spark), unfitted).count() == len(EDGES)
+
+
+@pytest.mark.parametrize("q, t, grade", [(0, 0, 1), (0, 1, 0), (1, 1, 0), (1, 0, 2), (None, 1, None), (1, None, None)])
+def test_grades(spark, q, t, grade):
+    df = spark.createDataFrame([(q, t)], "quality int, toxic int")
+    assert df.select(grade_of()).first()[0] == grade
