@@ -525,7 +525,7 @@ def seller_geo(spark, sf_dir):
 
 
 def _metric(metric: Callable) -> None:
-    QUERIES[metric.__name__] = lambda spark, sf_dir: metric(standin.StandInStar(spark, sf_dir))
+    QUERIES[metric.__name__] = lambda spark, sf_dir: metric(standin.written_star(spark, sf_dir))
 
 
 for _m in (

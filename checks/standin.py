@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from cartlake.operators.columns import with_partition_columns
 from cartlake.operators.joins import heavy_keys
 from cartlake.plans import gold
+from cartlake.sources.scratch import materialize
 
 # Covers all order dates of the test tables.
 FIRST_DATE = dt.date(1995, 1, 1)
@@ -173,6 +174,13 @@ def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_partition_columns(orders(spark, sf_dir), "order_purchase_timestamp")
 
 
+@cache
+def written_star(spark: SparkSession, sf_dir: str) -> gold.Star:
+    """The star schema over the test tables, written once for all queries that read it."""
+    star = StandInStar(spark, sf_dir)
+    return gold.Star(*(materialize(getattr(star, name), name)[0] for name in gold.Star._fields))
+
+
 class StandInStar:
     """The star schema over the test tables; a table is built when it is asked for.
 
