@@ -10,7 +10,7 @@ which then lead the bit string, finds every pair below a node that both share fr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlake.llm.common import shuffle_partitions, text_of
+from cartlake.llm.common import located, shuffle_partitions, text_of
 from cartlake.llm.components import components
 from cartlake.sources.scratch import materialize
 
@@ -62,16 +62,22 @@ def fingerprint(text: str, words: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp`` of whole texts; ``fp`` holds the 64 bits as bigint."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``id, fp`` of whole texts, and the columns of ``carry``; ``fp`` holds the 64 bits as bigint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            columns = [batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "fp", *carry])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("bigint").alias("id"), text_of(text_col).alias("text"), *carry
+    )
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, f"id bigint, fp bigint{carried}")
 
 
 def _blocks(budget: int) -> list[tuple[int, int]]:
@@ -329,28 +335,38 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     node_rows: int = NODE_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``id, fp, component_id``, one row per row of ``docs``.
+    """``id, fp, class_fp, component_id``, one row per row of ``docs``.
 
     Texts whose fingerprints differ in ``budget`` bits or fewer are linked; the component is the
     smallest id that can be reached, the own one included. Copies share a fingerprint and are
     joined once. NULL texts and texts without a word have fingerprint 0, which links like any
-    other. NULL ids take part, but name a component only if it has no other id. Repeated rows
-    stay. Other columns are not read. An empty table gives no rows.
+    other. NULL ids take part, but name a component only if it has no other id.
+    ``class_fp`` is one fingerprint of the component, the same for all its rows. Repeated rows
+    stay. Other columns are not read, those of ``carry`` come along. An empty table gives no rows.
     """
-    prints, _ = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
+    prints, _ = materialize(fingerprints(docs, id_col, text_col, carry), "fingerprints")
     distinct, _ = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     found = components(similar_pairs(distinct, budget, node_rows))
     linked = distinct.join(found.withColumnRenamed("node", "fp"), "fp")
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(names, "component").select("fp", "component_id")
-    whole = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    named = linked.join(names, "component").select("fp", F.col("component").alias("class_fp"), "component_id")
+    whole = distinct.join(named, "fp", "left").select(
+        "fp",
+        F.coalesce("class_fp", "fp").alias("class_fp"),
+        # A class without any id has no name.
+        F.when(F.col("class_fp").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+    )
     whole, _ = materialize(whole, "classes")
-    return prints.join(whole, "fp").select("id", "fp", "component_id")
+    return prints.join(whole, "fp").select("id", "fp", "class_fp", "component_id", *carry)
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: those with the smallest id of it."""
-    stay = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    stay = stay.where("id <=> component_id").select(F.col("id").alias("__id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["__id"]), "left_semi")
+    """The rows of ``docs`` that stand for their class: of each class the one with the smallest id,
+    NULL ids last, and of rows with the same id the first by file and place."""
+    placed = located(docs)
+    found = near_duplicates(placed, id_col=id_col, text_col=text_col, carry=("__file", "__row"), **options)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__file", "__row"))
+    stay = found.groupBy("class_fp").agg(first.alias("first")).select("first.__file", "first.__row")
+    return placed.join(stay, ["__file", "__row"], "left_semi").select(*docs.columns)

@@ -115,3 +115,12 @@ def test_near_copies_leave_one(spark):
     data += [(i, " ".join(rnd.choice(words) for _ in range(200)), "c") for i in range(20, 30)]
     kept = one_per_class(frame(spark, data))
     assert rows(kept, "doc_id") == [(i,) for i in (10, *range(20, 30))]
+
+
+def test_rows_of_one_id_and_rows_without(spark):
+    """Each class keeps one row, whatever ids its rows have."""
+    kept = one_per_class(edges(spark))
+    prints = [print_by_hand(r[1]) for r in EDGES]
+    assert kept.columns == edges(spark).columns
+    assert sorted(print_by_hand(r.text) for r in kept.collect()) == sorted({prints[c] for c in classes(prints)})
+    assert kept.where("text = 'the same text'").first().doc_id == 1
