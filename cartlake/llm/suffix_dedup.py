@@ -297,18 +297,21 @@ def remove_repeats(
     # Equal pieces meet before they move; they are repeated as a whole.
     contents = cut.groupBy("core", "digest").agg(F.any_value("content").alias("content"), F.count(F.lit(1)).alias("n"))
     contents, _ = materialize(contents, "piece-contents")
-    per_core = contents.groupBy("core").agg(F.count(F.lit(1)).alias("n"))
-    crowded, seen = materialize(
-        per_core, "crowded-cores", {"n": F.count_if(F.col("n") > core_pieces)}, keep=F.col("n") > core_pieces
+    per_core = contents.groupBy("core").agg(F.count(F.lit(1)).alias("pieces"))
+    # A piece that is alone with its core has no string in common with another one, nor twice
+    # itself: equal strings have their anchors at the same distance.
+    cores, seen = materialize(
+        per_core, "piece-cores", {"n": F.count_if(F.col("pieces") > core_pieces)}, keep=F.col("pieces") > 1
     )
     quiet, strings = "digest binary, low int, high int", "digest binary, low int, string binary"
-    calm = contents if not seen["n"] else contents.join(crowded, "core", "left_anti")
+    crowded = F.col("pieces") > core_pieces
+    calm = contents.join(cores.where(~crowded).select("core"), "core", "left_semi")
     dealt = calm.select("core", "digest", "content").repartition(n, "core").sortWithinPartitions("core", "digest")
     runs = dealt.mapInArrow(_merge_pieces(window), quiet)
     if seen["n"]:
         # Of very many pieces around one core, strings that are equal meet before they move.
         single = (
-            contents.join(crowded, "core", "left_semi")
+            contents.join(cores.where(crowded).select("core"), "core", "left_semi")
             .select("digest", "content")
             .repartition(n, "digest")
             .mapInArrow(_single_strings(window), strings)

@@ -1,0 +1,108 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import rows
+from texts import EDGES, LONG, edges, empty, frame
+
+from cartlake.llm.bwt import letters, merge, repeated_windows, sort_shard
+from cartlake.llm.suffix_dedup import _sliding_least, pieces, remove_repeats
+
+
+def repeated_by_hand(texts, window):
+    counts = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+    return [[i for i in range(len(t) - window + 1) if counts[t[i : i + window]] > 1] for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merged_shards_find_repeats(seed):
+    rnd = random.Random(seed)
+    for _ in range(40):
+        alphabet = rnd.choice(["a", "ab", "abcd"])
+        base = "".join(rnd.choice(alphabet) for _ in range(60))
+        texts = []
+        for _ in range(rnd.randint(0, 12)):
+            text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 50)))
+            at = rnd.randint(0, 40)
+            texts.append((text[:9] + base[at : at + rnd.randint(0, 25)] + text[9:]).encode())
+        window, block = rnd.choice([(12, 4), (8, 2), (6, 3), (10, 5), (5, 5), (8, 1)])
+        found = repeated_windows(texts, window, rnd.choice([1, 20, 60, 10_000]), block)
+        assert [f.tolist() for f in found] == repeated_by_hand(texts, window)
+
+
+def test_merged_order_is_that_of_sorting_all():
+    data = np.frombuffer(b"banana\0bandana\0ananas\0", np.uint8)
+    ends = [6, 14, 21]
+    left = np.array([next(e for e in ends if e >= i) - i for i in range(len(data))])
+    letter = letters(data, left, 1)
+    after = np.where(left >= 1, np.arange(len(data)) + 1, -1)
+    shards = [sort_shard(letter, after, np.arange(a, b)) for a, b in ((0, 7), (7, 15), (15, 22))]
+    places, blocks = merge(shards, 50)
+    text = bytes(data)
+    suffix = [text[p : p + left[p]] for p in places]
+    assert suffix == sorted(suffix)
+    assert [(a == b) for a, b in zip(suffix, suffix[1:])] == (np.diff(blocks) == 0).tolist()
+
+
+def test_sliding_least():
+    values = np.random.default_rng(1).integers(0, 99, 57).astype(np.uint64)
+    for width in (1, 2, 7, 56, 57):
+        want = [values[i : i + width].min() for i in range(58 - width)]
+        assert _sliding_least(values, width).tolist() == want
+
+
+@pytest.mark.parametrize("data", [b"", b"x" * 399, b"x" * 400, b"ab" * 1000, bytes(range(256)) * 9, LONG.encode()[:3000]])
+def test_pieces_cover_each_string_once(data):
+    starts, counts, cores, _ = pieces(data)
+    covered = [s + i for s, n in zip(starts.tolist(), counts.tolist()) for i in range(n)]
+    assert covered == list(range(max(0, len(data) - 399)))
+    for s, n, c in zip(starts.tolist(), counts.tolist(), cores.tolist()):
+        assert c >= s + n - 1 and c + 273 <= s + 400
+
+
+def removed_by_hand(data, window):
+    texts = [(r[1] or "").encode() for r in data]
+    out = []
+    for r, t, starts in zip(data, texts, repeated_by_hand(texts, window)):
+        gone = np.zeros(len(t) + 1, int)
+        for i in starts:
+            gone[i] += 1
+            gone[i + window] -= 1
+        gone = np.cumsum(gone)[: len(t)] > 0
+        rest = bytes(np.frombuffer(t, np.uint8)[~gone])
+        spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        out.append((r[0], len(t), len(t) - len(rest), spans, hashlib.sha256(rest).hexdigest()))
+    return sorted(out, key=repr)
+
+
+COLUMNS = ("id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@pytest.mark.parametrize("core_pieces", [512, 1])
+def test_against_brute_force(spark, core_pieces):
+    """Shared passages, one of them in most texts, runs within a text, copies, multi-byte text."""
+    rnd = random.Random(11)
+
+    def noise(n):
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz é漢 ") for _ in range(n))
+
+    passages = [noise(n) for n in (399, 400, 420, 700, 1500)]
+    data = [(i, noise(rnd.randint(0, 600)) + passages[2] + noise(rnd.randint(0, 300)), "a") for i in range(25)]
+    data += [(100 + i, noise(50) + rnd.choice(passages) + noise(90) + rnd.choice(passages), "b") for i in range(20)]
+    data += [(200, passages[3] * 3, "c"), (201, "z" * 1200, "c"), (202, "ab" * 500, "c"), (203, data[0][1], "c")]
+    found = remove_repeats(frame(spark, data), core_pieces=core_pieces)
+    assert rows(found, *COLUMNS) == removed_by_hand(data, 400)
+
+
+def test_edges(spark):
+    found = remove_repeats(edges(spark))
+    assert rows(found, *COLUMNS) == removed_by_hand(EDGES, 400)
+    kept = {r.id: r.kept for r in found.where("n_removed > 0").collect()}
+    assert set(kept) == {6}
+    small = remove_repeats(edges(spark), window=50, span=10)
+    assert rows(small, *COLUMNS) == removed_by_hand(EDGES, 50)
+    assert remove_repeats(empty(spark)).count() == 0
+    with pytest.raises(ValueError):
+        remove_repeats(edges(spark), window=401)
