@@ -28,7 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--input", action="append", default=[], metavar="NAME=TABLE", help="silver table of a gold input"
     )
-    parser.add_argument("--first", type=dt.date.fromisoformat, help="first day of dim_dates; as far as the orders go if left out")
+    parser.add_argument(
+        "--first", type=dt.date.fromisoformat, help="first day of dim_dates; as far as the orders go if left out"
+    )
     parser.add_argument("--last", type=dt.date.fromisoformat, help="last day of dim_dates")
     parser.add_argument("--skip-loaded", action="store_true", help="leave out raw files loaded before")
     parser.add_argument(
