@@ -10,7 +10,6 @@ encoding of its text if each two neighbours are, so the joined sequence is exact
 
 from __future__ import annotations
 
-import base64
 import functools
 import hashlib
 import json
@@ -246,7 +245,9 @@ def encode_documents(
     shared = spark.sparkContext.broadcast(spec)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     wide = F.length("text") > piece
-    kind = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if summary else "n_tokens bigint, ids binary, decoded string"
+    kind = "n_tokens bigint, ids binary, decoded string"
+    if summary:
+        kind = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     names = [c.split()[0] for c in kind.split(", ")]
 
     def results(found: list[tuple[bytes, str]]) -> list[pa.Array]:

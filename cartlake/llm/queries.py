@@ -7,7 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlake.llm import bpe, exact_dedup, line_dedup, mixing, passage_dedup, quality, sharding, simhash, suffix_dedup, vector_dedup
+from cartlake.llm import (
+    bpe,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    passage_dedup,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    vector_dedup,
+)
 from cartlake.llm.common import ship
 
 SHARDS = 24
