@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlake.functions.dates import parse_timestamp
 from cartlake.operators.columns import (
     cast_timestamp,
     require_columns,
@@ -18,7 +19,7 @@ from cartlake.operators.columns import (
 from cartlake.operators.duplicates import KeyProfile, pick_touched, profile_keys, split_duplicates
 from cartlake.operators.nulls import split_nulls
 from cartlake.operators.quality import enforce_gate, quality_gate
-from cartlake.sources.scratch import released
+from cartlake.sources.scratch import materialize, released
 from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
 from cartlake.specs import BAD_TIMESTAMP, DLQ_REASON, DUPLICATE_KEY, NULL_KEY, Layers, QualityThresholds, TableSpec
 
@@ -71,6 +72,19 @@ def cleanse(df: DataFrame, spec: TableSpec, profile: KeyProfile | None = None) -
     return Cleansed(stamp_updated(valid), reduce(DataFrame.unionByName, rejects) if rejects else None)
 
 
+def _untouched_rejects(earlier: DataFrame, valid: DataFrame, rejects: DataFrame, spec: TableSpec) -> DataFrame:
+    """Earlier dead letters of partitions without a row in ``valid``, but for those that ``rejects`` has
+    again. Rows without a timestamp are a partition too. The result is written out."""
+    touched = valid.select(*(F.col(p).alias(f"__{p}") for p in spec.partition_by)).distinct()
+    placed = earlier.select(F.struct("*").alias("row"), parse_timestamp(spec.timestamp_column).alias("at"))
+    placed = with_partition_columns(placed, "at", spec.partition_by)
+    same = [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in spec.partition_by]
+    kept = placed.join(touched, reduce(Column.__and__, same), "left_anti").select("row.*")
+    again = rejects.select(F.struct(*(c for c in rejects.columns if c in kept.columns)).alias("__again"))
+    same = [kept[c].eqNullSafe(F.col("__again")[c]) for c in rejects.columns if c in kept.columns]
+    return materialize(kept.join(again, reduce(Column.__and__, same), "left_anti"), "kept-rejects")[0]
+
+
 def load(
     spark: SparkSession,
     spec: TableSpec,
@@ -86,7 +100,8 @@ def load(
     partitioned table that have rows now.
 
     Rejects are written after the silver rows and take the place of those of earlier loads, which
-    came from the same, ever-growing bronze table. What was written meanwhile is deleted.
+    came from the same, ever-growing bronze table; with ``mode="partitions"`` only of those in
+    replaced partitions, and of equal ones. What was written meanwhile is deleted.
     """
     bronze = read_table(spark, f"{layers.bronze}.{spec.name}")
     if bronze is None:
@@ -115,5 +130,11 @@ def load(
             ensure_namespace(spark, layers.dlq, layers.location)
             some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
             reasons = (DUPLICATE_KEY, NULL_KEY, BAD_TIMESTAMP)
-            rejected = write_dlq(rejects, dlq, some=some, file_format=layers.file_format, replace=reasons)
+            keep = None
+            earlier = read_table(spark, dlq) if mode == "partitions" and spec.partition_by else None
+            if earlier is not None:
+                keep = _untouched_rejects(earlier.where(F.col(DLQ_REASON).isin(*reasons)), valid, rejects, spec)
+            rejected = write_dlq(
+                rejects, dlq, some=some, file_format=layers.file_format, replace=reasons, keep=keep
+            )
     return Loaded(rows, rejected, tuple(breaches))

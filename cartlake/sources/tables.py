@@ -128,12 +128,14 @@ def write_dlq(
     some: bool = False,
     file_format: str = "parquet",
     replace: Sequence[str] = (),
+    keep: DataFrame | None = None,
 ) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
     The table is partitioned by reason. For the reasons in ``replace`` the rows take the place
     of all earlier ones, also if there are none now: a rebuild from the same rows gives the
-    same dead letters again, not more of them.
+    same dead letters again, not more of them. The rows of ``keep``, earlier dead letters read from
+    elsewhere than the table, stay with them as they are; they are not in the number returned.
 
     Columns the table does not have yet are added to it; columns the rows lack are NULL.
     A failure raises: rejects are not lost silently. Without rejects no table is made;
@@ -157,13 +159,16 @@ def write_dlq(
     records = records.select(*aligned)
     if not replace:
         return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
-    seen = Observation()
+    fresh, seen = Observation(), Observation()
+    records = records.observe(fresh, F.count(F.lit(1)).alias("rows"))
+    if keep is not None:
+        records = records.unionByName(keep, allowMissingColumns=True)
     records = records.observe(seen, F.collect_set(DLQ_REASON).alias("reasons"))
-    rows = write_table(records, table, "partitions", (DLQ_REASON,), file_format=file_format)
+    write_table(records, table, "partitions", (DLQ_REASON,), file_format=file_format)
     # Reasons that no row has any more. One row per reason meets the driver.
     known = {r[0] for r in spark.table(table).select(DLQ_REASON).distinct().collect()}
     stale = (known & set(replace)) - set(seen.get["reasons"])
     if stale:
         rest = spark.table(table).where(~F.col(DLQ_REASON).isin(*stale))
         write_table(rest, table, "overwrite", (DLQ_REASON,), file_format=file_format)
-    return rows
+    return fresh.get["rows"]
