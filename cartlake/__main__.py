@@ -34,7 +34,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--last", type=dt.date.fromisoformat, help="last day of dim_dates")
     parser.add_argument("--skip-loaded", action="store_true", help="leave out raw files loaded before")
     parser.add_argument(
-        "--mode", choices=("overwrite", "partitions"), default="overwrite", help="what silver and gold replace"
+        "--mode",
+        choices=("overwrite", "partitions", "incremental"),
+        default="overwrite",
+        help="what silver and gold replace; incremental loads new raw files only",
     )
     parser.add_argument("--workers", type=int, default=4, help="tables loaded side by side")
     a = parser.parse_args(argv)
@@ -48,7 +51,8 @@ def main(argv: list[str] | None = None) -> None:
     if a.step == "verify":
         verify_raw_files(spark, a.raw, expected_lines(specs)).show(truncate=False)
     if a.step in ("bronze", "all"):
-        medallion.run_bronze(spark, a.raw, specs, skip_loaded=a.skip_loaded, workers=a.workers)
+        new = a.mode == "incremental"
+        medallion.run_bronze(spark, a.raw, specs, skip_loaded=a.skip_loaded or new, workers=a.workers, by_load=new)
     if a.step in ("silver", "all"):
         medallion.run_silver(spark, specs, limits=limits, workers=a.workers, mode=a.mode)
     if a.step in ("gold", "all"):

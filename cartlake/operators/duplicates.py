@@ -82,14 +82,42 @@ def surplus_rows(df: DataFrame, kept: DataFrame, distinct: bool = False) -> Data
     )
     if distinct:
         return counted.where(F.col(_KEPT) > 0).select(*cols)
-    surplus = counted.where(F.col(_N) > 0).drop(_KEPT)
-    # Copies are written out in portions, spread over the tasks, so a row with very many
-    # copies is not the work of one. A fixed partition count keeps the portions apart.
+    return repeat_rows(counted.where(F.col(_N) > 0).drop(_KEPT)).select(*cols)
+
+
+def remaining_rows(df: DataFrame, taken: DataFrame, stamp: str) -> DataFrame:
+    """Rows of ``df`` less as many copies of each as ``taken`` has, compared on the columns of ``taken``.
+
+    What is left of rows that are equal on these has the other columns of the one with the least ``stamp``.
+    """
+    same = [c for c in taken.columns if c in df.columns]
+    rest = [c for c in df.columns if c not in same]
+    one = F.lit(1).cast("bigint")
+    theirs = taken.select(*same).withColumn(_N, -one)
+    counted = (
+        df.withColumn(_N, one)
+        .unionByName(theirs, allowMissingColumns=True)
+        .groupBy(*same)
+        .agg(F.sum(_N).alias(_N), F.min_by(F.struct(*rest), stamp).alias("__rest"))
+    )
+    left = counted.where(F.col(_N) > 0).select(*same, "__rest.*", _N)
+    return repeat_rows(left).select(*df.columns)
+
+
+def repeat_rows(counted: DataFrame) -> DataFrame:
+    """Each row as often as its ``__n`` says.
+
+    Copies are written out in portions, spread over the tasks, so a row with very many copies is
+    not the work of one.
+    """
+    cols = [c for c in counted.columns if c != _N]
+    surplus = counted
+    # A fixed partition count keeps the portions apart.
     portion = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_N} - 1) div {COPIES_PER_TASK}")))
     portions = (
         surplus.withColumn("__portion", portion)
         .withColumn(_N, F.least(F.lit(COPIES_PER_TASK), F.col(_N) - F.col("__portion") * COPIES_PER_TASK))
-        .repartition(_shuffle_partitions(df), "__portion", *hashable(df))
+        .repartition(_shuffle_partitions(counted), "__portion", *hashable(counted.drop(_N)))
         .drop("__portion")
     )
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_N)))

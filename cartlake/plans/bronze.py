@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +15,7 @@ from cartlake.operators.columns import sanitize_columns, stamp_ingested
 from cartlake.sources.csv import read_csv_inferred, read_csv_typed, split_corrupt
 from cartlake.sources.scratch import materialize
 from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
-from cartlake.specs import CORRUPT_RECORD, MALFORMED_RECORD, Layers, TableSpec
+from cartlake.specs import CORRUPT_RECORD, LOAD_ID, MALFORMED_RECORD, Layers, TableSpec
 
 
 class Loaded(NamedTuple):
@@ -40,12 +42,16 @@ def load(
     raw_root: str,
     layers: Layers = Layers(),
     skip_loaded: bool = False,
+    by_load: bool = False,
 ) -> Loaded:
     """Append the raw files of ``spec`` to its bronze table; unreadable records go to the DLQ.
 
     Running it again appends every row again. With ``skip_loaded`` files that were loaded
     before, by path and modification time, are left out; a load that fails between its
     rows and the file log is repeated by the next run.
+
+    With ``by_load`` the table is made with a partition per load, ``_load_id``, so that what is new can
+    be read alone. A table that exists is appended to as it was made.
     """
     ensure_namespace(spark, layers.bronze, layers.location)
     path: str | list[str] = f"{raw_root.rstrip('/')}/{spec.source}"
@@ -60,12 +66,12 @@ def load(
     target = f"{layers.bronze}.{spec.name}"
     rejected = 0
     if spec.types is None:
-        rows = write_table(stamp_ingested(sanitize_columns(raw)), target, mode="append", file_format=layers.file_format)
+        rows = _append(stamp_ingested(sanitize_columns(raw)), target, layers, by_load)
     else:
         seen = Observation()
         counted = raw.observe(seen, F.count(CORRUPT_RECORD).alias("corrupt"))
         good = sanitize_columns(split_corrupt(counted)[0])
-        rows = write_table(stamp_ingested(good), target, mode="append", file_format=layers.file_format)
+        rows = _append(stamp_ingested(good), target, layers, by_load)
         if seen.get["corrupt"]:
             ensure_namespace(spark, layers.dlq, layers.location)
             # Cells as far as they could be read, next to the raw text.
@@ -78,6 +84,15 @@ def load(
     return Loaded(rows, rejected)
 
 
+def _append(rows: DataFrame, target: str, layers: Layers, by_load: bool) -> int:
+    have = read_table(rows.sparkSession, target)
+    if not (by_load if have is None else LOAD_ID in have.columns):
+        return write_table(rows, target, mode="append", file_format=layers.file_format)
+    load = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    rows = rows.withColumn(LOAD_ID, F.lit(load))
+    return write_table(rows, target, "append", (LOAD_ID,), file_format=layers.file_format, gather=False)
+
+
 def _file_log(layers: Layers) -> str:
     return f"{layers.ops}.loaded_files"
 

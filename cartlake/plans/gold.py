@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,9 @@ from cartlake.functions.dates import is_weekend
 from cartlake.functions.exact import exact_mean, merge_parts, sum_parts, total
 from cartlake.operators.columns import stamp_updated
 from cartlake.operators.joins import heavy_keys, spread_join
-from cartlake.sources.scratch import released
-from cartlake.sources.tables import ensure_namespace, write_table
+from cartlake.sources.batches import BUILT, REPLACED, Batch, State, log_batches, read_state
+from cartlake.sources.scratch import delete_path, released
+from cartlake.sources.tables import ensure_namespace, partition_filter, partitions_of, replace_partitions, write_table
 from cartlake.specs import Layers
 
 # The least range of the date dimension.
@@ -235,23 +237,119 @@ def build(
     far as the orders do. ``mode="partitions"`` replaces only those partitions of the facts that
     have rows now; dimensions are replaced whole.
     """
+    states = read_state(spark, layers, [(names or {}).get(n, n) for n in SILVER_INPUTS])
     with released(spark):
-        return _build(spark, layers, names, first, last, on_written, workers, mode)
+        rows = _build(spark, layers, names, first, last, on_written, workers, mode)
+    _log_built(spark, layers, states)
+    return rows
+
+
+# What each gold table is made of.
+INPUTS_OF = {
+    "dim_customers": ("customers",),
+    "dim_sellers": ("sellers",),
+    "dim_products": ("products", "category_translation"),
+    "dim_geolocation": ("geolocation",),
+    "dim_dates": ("orders",),
+    "fact_order_payments": ("orders", "order_payments"),
+    "fact_order_sales": ("orders", "order_items", "order_reviews"),
+}
+
+
+def refresh(
+    spark: SparkSession,
+    layers: Layers = Layers(),
+    names: dict[str, str] | None = None,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+    on_written: Callable[[str, int], None] = lambda name, rows: None,
+    workers: int = 4,
+) -> dict[str, int]:
+    """Bring the star up to the batches that silver loads applied since it was built; rows written by table name.
+
+    Dimensions are replaced if an input changed. Of a fact only the partitions are computed and
+    written that have an order with a change: of the order itself, before or after it, or of one
+    of its payments, items or reviews. Orders are read from these partitions alone. Where an
+    input was replaced as a whole, or is not known to the log, all is built anew. If it fails, the next
+    run does the same again.
+    """
+    names = {n: n for n in SILVER_INPUTS} | (names or {})
+    states = read_state(spark, layers, names.values())
+    whole = any(s.loads is None or any(b.event == REPLACED for b in s.pending) for s in states.values())
+    if whole or not all(spark.catalog.tableExists(f"{layers.gold}.{t}") for t in Star._fields):
+        return build(spark, layers, names, first, last, on_written, workers)
+    changed = {n: _changes(spark, states[names[n]]) for n in SILVER_INPUTS if states[names[n]].pending}
+    with released(spark):
+        t = {n: spark.table(f"{layers.silver}.{names[n]}") for n in SILVER_INPUTS}
+        tasks = {}
+        for name in reversed(Star._fields):
+            if not changed.keys() & set(INPUTS_OF[name]):
+                continue
+            if name.startswith("fact_"):
+                some = {n: changed[n] for n in INPUTS_OF[name] if n in changed}
+                tasks[name] = lambda name=name, some=some: _refresh_fact(spark, layers, name, t, some)
+            else:
+                frame = _dimension(spark, name, t, first, last)
+                tasks[name] = lambda name=name, frame=frame: write_table(
+                    frame, f"{layers.gold}.{name}", file_format=layers.file_format
+                )
+        rows = _run_all(tasks, on_written, workers)
+    _log_built(spark, layers, states)
+    return rows
+
+
+def _changes(spark: SparkSession, state: State) -> DataFrame:
+    """Rows that entered or left a silver table since gold was built."""
+    paths = [f"{b.path}/{part}" for b in state.pending for part in ("valid", "displaced")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(spark.read.parquet, paths))
+
+
+def _log_built(spark: SparkSession, layers: Layers, states: dict[str, State]) -> None:
+    done = [b for s in states.values() for b in s.pending]
+    if done:
+        log_batches(spark, layers, [Batch(b.table, b.batch, BUILT) for b in done])
+    for b in done:
+        if b.path:
+            delete_path(spark, b.path)
+
+
+def touched_partitions(orders: DataFrame, changed: dict[str, DataFrame]) -> set[tuple]:
+    """Partitions of the orders that ``changed`` rows of the inputs belong to, now or before."""
+    out: set[tuple] = set()
+    if "orders" in changed:
+        out |= partitions_of(changed["orders"], FACT_PARTITIONS)
+    ids = [df.select("order_id") for n, df in changed.items() if n != "orders"]
+    if ids:
+        ids = reduce(DataFrame.unionByName, ids).distinct()
+        out |= partitions_of(orders.join(ids, "order_id", "left_semi"), FACT_PARTITIONS)
+    return out
+
+
+def _refresh_fact(
+    spark: SparkSession, layers: Layers, name: str, t: dict[str, DataFrame], changed: dict[str, DataFrame]
+) -> int:
+    touched = touched_partitions(t["orders"], changed)
+    if not touched:
+        return 0
+    orders = t["orders"].where(partition_filter(touched, FACT_PARTITIONS))
+    many = "order_payments" if name == "fact_order_payments" else "order_items"
+    rows = t[many].join(orders.select("order_id"), "order_id", "left_semi")
+    heavy = heavy_keys(rows, ["order_id"])
+    if name == "fact_order_payments":
+        fact = fact_order_payments(orders, rows, heavy)
+    else:
+        fact = fact_order_sales(rows, orders, t["order_reviews"], heavy)
+    target = f"{layers.gold}.{name}"
+    fact = fact.select(*spark.table(target).columns)
+    return replace_partitions(fact, target, FACT_PARTITIONS, touched, layers.file_format)
 
 
 def _build(spark, layers, names, first, last, on_written, workers, mode) -> dict[str, int]:
     names = {n: n for n in SILVER_INPUTS} | (names or {})
     t = {n: spark.table(f"{layers.silver}.{names[n]}") for n in SILVER_INPUTS}
     ensure_namespace(spark, layers.gold, layers.location)
-    if first is None or last is None:
-        found = date_range(t["orders"])
-        first, last = first or found[0], last or found[1]
     star = Star(
-        dim_customers(t["customers"]),
-        dim_sellers(t["sellers"]),
-        dim_products(t["products"], t["category_translation"]),
-        dim_geolocation(t["geolocation"]),
-        dim_dates(spark, first, last),
+        *(_dimension(spark, name, t, first, last) for name in Star._fields if name.startswith("dim_")),
         fact_order_payments(t["orders"], t["order_payments"], heavy_keys(t["order_payments"], ["order_id"])),
         fact_order_sales(
             t["order_items"], t["orders"], t["order_reviews"], heavy_keys(t["order_items"], ["order_id"])
@@ -268,11 +366,34 @@ def _build(spark, layers, names, first, last, on_written, workers, mode) -> dict
             file_format=layers.file_format,
         )
 
+    # The facts take longest, so they start first.
+    return _run_all({name: lambda name=name: write(name) for name in reversed(Star._fields)}, on_written, workers)
+
+
+def _dimension(
+    spark: SparkSession, name: str, t: dict[str, DataFrame], first: dt.date | None, last: dt.date | None
+) -> DataFrame:
+    if name == "dim_dates":
+        if first is None or last is None:
+            found = date_range(t["orders"])
+            first, last = first or found[0], last or found[1]
+        return dim_dates(spark, first, last)
+    make = {
+        "dim_customers": dim_customers,
+        "dim_sellers": dim_sellers,
+        "dim_products": dim_products,
+        "dim_geolocation": dim_geolocation,
+    }
+    return make[name](*(t[n] for n in INPUTS_OF[name]))
+
+
+def _run_all(
+    work: dict[str, Callable[[], int]], on_written: Callable[[str, int], None], workers: int
+) -> dict[str, int]:
     rows: dict[str, int] = {}
     failures: dict[str, BaseException] = {}
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        # The facts take longest, so they start first.
-        tasks = {pool.submit(write, name): name for name in reversed(Star._fields)}
+        tasks = {pool.submit(write): name for name, write in work.items()}
         for task in as_completed(tasks):
             name = tasks[task]
             if error := task.exception():

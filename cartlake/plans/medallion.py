@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -69,11 +70,12 @@ def run_bronze(
     layers: Layers = Layers(),
     skip_loaded: bool = False,
     workers: int = 4,
+    by_load: bool = False,
 ) -> None:
     ensure_namespace(spark, layers.ops, layers.location)
 
     def load(spec: TableSpec):
-        return bronze.load(spark, spec, raw_root, layers, skip_loaded)
+        return bronze.load(spark, spec, raw_root, layers, skip_loaded, by_load)
 
     # The file log is one table, so loads that append to it run one after the other.
     _run_layer(spark, "bronze", specs, layers, load, 1 if skip_loaded else workers)
@@ -103,7 +105,8 @@ def run_gold(
     ensure_namespace(spark, layers.ops, layers.location)
     runs: list[Run] = []
     try:
-        return gold.build(
+        make = gold.refresh if mode == "incremental" else partial(gold.build, mode=mode)
+        return make(
             spark,
             layers,
             names,
@@ -111,7 +114,6 @@ def run_gold(
             last,
             on_written=lambda name, rows: runs.append(Run("gold", name, rows)),
             workers=workers,
-            mode=mode,
         )
     except Exception as error:
         runs.append(Run("gold", GOLD_BATCH, 0, FAILED, message=str(error)))
@@ -136,11 +138,14 @@ def run(
     """Raw files to published views; rows of the gold tables by name.
 
     ``mode="partitions"`` replaces only those partitions of partitioned tables that have rows now.
+    ``mode="incremental"`` loads new raw files only, merges them into silver by key, and computes the
+    gold partitions that they touch; the first such run is a whole one.
 
     A layer starts only after the one before it is complete. A failed table does not keep
     the others of its layer from finishing, but it fails the run.
     """
-    run_bronze(spark, raw_root, specs, layers, skip_loaded, workers)
+    new = mode == "incremental"
+    run_bronze(spark, raw_root, specs, layers, skip_loaded or new, workers, new)
     run_silver(spark, specs, layers, limits, workers, mode)
     rows = run_gold(spark, layers, names, first, last, workers, mode)
     publish_views(spark, layers)

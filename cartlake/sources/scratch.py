@@ -39,9 +39,10 @@ def scratch_root(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
-def scratch_path(spark: SparkSession, purpose: str) -> str:
+def scratch_path(spark: SparkSession, purpose: str, keep: bool = False) -> str:
+    """A new path of the shared folder. With ``keep`` a ``released`` block around leaves it there."""
     path = f"{scratch_root(spark)}/cartlake/{purpose}-{uuid.uuid4().hex}"
-    if (made := _made.get()) is not None:
+    if not keep and (made := _made.get()) is not None:
         made.append(path)
     return path
 
@@ -59,8 +60,12 @@ def released(spark: SparkSession) -> Iterator[None]:
     finally:
         _made.reset(token)
         for path in made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(

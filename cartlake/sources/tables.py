@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.operators.columns import require_columns
@@ -36,6 +37,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     file_format: str = "parquet",
+    gather: bool = True,
 ) -> int:
     """Write ``df`` to the table ``name`` and return the number of rows written.
 
@@ -46,13 +48,15 @@ def write_table(
     in ``df`` and adds new ones.
 
     A partitioned write gathers the rows of a partition first, so tasks do not each open a
-    file in every partition; the rebalance cuts large partitions into several tasks.
+    file in every partition; the rebalance cuts large partitions into several tasks. Without
+    ``gather``, for rows that all go to one partition, they are written where they are.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = df.sparkSession
     if partition_by:
         require_columns(df, partition_by)
+    if partition_by and gather:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     written = Observation()
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -79,6 +83,55 @@ def write_table(
     return written.get["rows"]
 
 
+def partition_filter(partitions: Iterable[Sequence], by: Sequence[str]) -> Column:
+    """Whether a row is in one of ``partitions``, values in the order of ``by``; prunes folders."""
+    hits = (
+        reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, values, strict=True)))
+        for values in partitions
+    )
+    return reduce(Column.__or__, hits, F.lit(False))
+
+
+def partitions_of(df: DataFrame, by: Sequence[str]) -> set[tuple]:
+    """The different partition values of ``df``. As many as there are folders, which the driver lists anyway."""
+    return {tuple(r) for r in df.select(*by).distinct().collect()}
+
+
+def replace_partitions(
+    df: DataFrame, name: str, by: Sequence[str], partitions: Iterable[tuple], file_format: str = "parquet"
+) -> int:
+    """Make ``df`` the content of ``partitions`` of a table; those without a row now are dropped.
+
+    Doing it again gives the same. ``df`` must not read the table.
+    """
+    gone = set(partitions) - partitions_of(df, by)
+    rows = write_table(df, name, "partitions", by, file_format=file_format)
+    have = partitions_of(df.sparkSession.table(name), by) if gone else set()
+    for values in gone & have:
+        named = ", ".join(f"`{c}` = {'null' if v is None else repr(v)}" for c, v in zip(by, values, strict=True))
+        df.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({named})")
+    return rows
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def swap_tables(spark: SparkSession, new: str, name: str) -> None:
+    """Put the table ``new`` in the place of ``name``, at whatever step an earlier attempt was lost.
+
+    Without a table ``new`` the swap is over but for the old table, which may be left.
+    """
+    old = f"{new}__old"
+    exists = spark.catalog.tableExists
+    if exists(new):
+        if exists(name):
+            drop_table(spark, old)
+            _rename(spark, name, old)
+        _rename(spark, new, name)
+    drop_table(spark, old)
+
+
 def _swap(spark: SparkSession, new: str, name: str) -> None:
     """Put the table ``new`` in the place of ``name``; the old one goes only after that."""
     old = f"{name}__{uuid.uuid4().hex}"
@@ -113,12 +166,12 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def dlq_records(rejects: DataFrame, reason: str | None = None) -> DataFrame:
-    """Rejected rows with the reason and the time of rejection."""
+def dlq_records(rejects: DataFrame, reason: str | None = None, stamp: bool = True) -> DataFrame:
+    """Rejected rows with the reason and the time of rejection, unless they have it already."""
     if reason is not None:
         rejects = rejects.withColumn(DLQ_REASON, F.lit(reason))
     require_columns(rejects, [DLQ_REASON], "rejected rows without a given reason")
-    return rejects.withColumn(DLQ_TIMESTAMP, F.current_timestamp())
+    return rejects.withColumn(DLQ_TIMESTAMP, F.current_timestamp()) if stamp else rejects
 
 
 def write_dlq(
@@ -129,6 +182,7 @@ def write_dlq(
     file_format: str = "parquet",
     replace: Sequence[str] = (),
     keep: DataFrame | None = None,
+    stamp: bool = True,
 ) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
@@ -142,7 +196,7 @@ def write_dlq(
     ``some`` says that there are rejects, which saves looking for a first one.
     """
     spark = rejects.sparkSession
-    records = dlq_records(rejects, reason)
+    records = dlq_records(rejects, reason, stamp)
     if not spark.catalog.tableExists(table):
         if not some and rejects.isEmpty():
             return 0

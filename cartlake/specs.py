@@ -10,6 +10,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import types as T
 
 INGESTED_AT = "_ingested_at"
+# Partition column of bronze tables: one value per load.
+LOAD_ID = "_load_id"
 UPDATED_AT = "_updated_at"
 DLQ_REASON = "_dlq_reason"
 DLQ_TIMESTAMP = "_dlq_timestamp"

@@ -203,6 +203,26 @@ ORACLES: dict[str, str] = {
         SELECT order_id, CASE WHEN "year" = 1996 THEN 'Z' ELSE order_status END AS order_status,
                order_purchase_timestamp, "year", "month"
         FROM r_orders"""),
+    "silver_upsert": _with("""
+        SELECT order_id,
+               CASE order_id % 10 WHEN 0 THEN 'M' WHEN 1 THEN 'S' ELSE order_status END AS order_status,
+               order_purchase_timestamp + to_days(CASE WHEN order_id % 10 = 0 THEN 40 ELSE 0 END)
+                   AS order_purchase_timestamp,
+               'kept' AS reason,
+               cast(year(order_purchase_timestamp + to_days(CASE WHEN order_id % 10 = 0 THEN 40 ELSE 0 END)) AS integer)
+                   AS "year",
+               cast(month(order_purchase_timestamp + to_days(CASE WHEN order_id % 10 = 0 THEN 40 ELSE 0 END)) AS integer)
+                   AS "month"
+        FROM r_orders
+        UNION ALL
+        SELECT order_id, order_status, order_purchase_timestamp, 'Duplicate Primary Key', NULL, NULL
+        FROM r_orders WHERE order_id % 10 < 2
+        UNION ALL
+        SELECT order_id, 'S', order_purchase_timestamp, 'Duplicate Primary Key', NULL, NULL
+        FROM r_orders WHERE order_id % 100 = 1"""),
+    "silver_repeated_rejects": _with("""
+        SELECT "year", CASE WHEN "year" = 1996 THEN count(*) ELSE 3 * count(*) END AS rejects
+        FROM r_orders WHERE order_id % 5 = 0 GROUP BY "year" """),
     "silver_loads_reject_once": _with(
         f"""SELECT CASE WHEN rn > 1 THEN 'Duplicate Primary Key' ELSE 'Null Primary Key' END AS _dlq_reason,
                    count(*) AS rejects
@@ -390,6 +410,28 @@ ORACLES: dict[str, str] = {
             FROM (SELECT {ITEM} FROM (SELECT *, {TEXT_RANK} AS rn FROM items) WHERE rn = 1) AS kept
                  JOIN r_orders USING (order_id) LEFT JOIN scores USING (order_id)""",
     ),
+    "incremental_run": _with(
+        f"""
+        SELECT 'sale' AS kind, order_id, order_item_id AS line,
+               cast(price + CASE WHEN order_id % 7 = 0 THEN 1 ELSE 0 END AS double) AS amount, order_status, "year",
+               "month", avg_review_score
+        FROM (SELECT {ITEM} FROM (SELECT *, {TEXT_RANK} AS rn FROM items) WHERE rn = 1)
+             JOIN late_orders USING (order_id) LEFT JOIN late_scores USING (order_id)
+        UNION ALL
+        SELECT 'payment', order_id, payment_sequential,
+               cast(payment_value + CASE WHEN order_id % 11 = 0 THEN 1 ELSE 0 END AS double), order_status, "year",
+               "month", NULL
+        FROM late_orders JOIN payments USING (order_id)""",
+        late_orders="""
+            SELECT order_id, CASE WHEN order_id % 10 = 0 THEN 'M' ELSE order_status END AS order_status,
+                   cast(year(bought) AS integer) AS "year", cast(month(bought) AS integer) AS "month"
+            FROM (SELECT *, order_purchase_timestamp + to_days(CASE WHEN order_id % 10 = 0 THEN 40 ELSE 0 END) AS bought
+                  FROM r_orders)""",
+        late_scores="""
+            SELECT order_id, cast(sum(review_score) AS double) / count(review_score) AS avg_review_score
+            FROM (SELECT * FROM reviews UNION ALL
+                  SELECT event_id // 3, 1 FROM events WHERE event_id % 15 = 0) GROUP BY order_id""",
+    ),
     "medallion_audit": _with(
         " UNION ALL ".join(
             [

@@ -38,6 +38,7 @@ from cartlake.specs import (
     DLQ_REASON,
     DLQ_TIMESTAMP,
     INGESTED_AT,
+    LOAD_ID,
     MONEY,
     NULL_KEY,
     UPDATED_AT,
@@ -424,6 +425,58 @@ def silver_partition_refresh(spark, sf_dir):
     return _plain(spark.table(f"{layers.silver}.orders"))
 
 
+def _loaded(df: DataFrame, name: str, load: str, at: str) -> None:
+    """Append a load to a bronze table that is kept by load."""
+    stamped = df.withColumns({INGESTED_AT: F.lit(at).cast("timestamp"), LOAD_ID: F.lit(load)})
+    write_table(stamped, name, "append", (LOAD_ID,), gather=False)
+
+
+@_register
+def silver_upsert(spark, sf_dir):
+    """A second load moves some orders to another month, changes the status of others, and has one order twice.
+
+    Rows of silver and dead letters, told apart by ``reason``.
+    """
+    layers = _layers(spark)
+    ensure_namespace(spark, layers.bronze, layers.location)
+    name = f"{layers.bronze}.orders"
+    spec = TableSpec("orders", "", ("order_id",), "order_purchase_timestamp", ("year", "month"))
+    orders = standin.orders(spark, sf_dir).select("order_id", "order_status", "order_purchase_timestamp")
+    _loaded(orders, name, "1", "2024-01-01")
+    silver.load(spark, spec, layers, mode="incremental")
+    moved = orders.where("order_id % 10 = 0").withColumns(
+        {
+            "order_status": F.lit("M"),
+            "order_purchase_timestamp": F.expr("order_purchase_timestamp + interval 40 days"),
+        }
+    )
+    paid = orders.where("order_id % 10 = 1").withColumn("order_status", F.lit("S"))
+    _loaded(moved.unionByName(paid).unionByName(paid.where("order_id % 100 = 1")), name, "2", "2024-01-02")
+    silver.load(spark, spec, layers, mode="incremental")
+    kept = spark.table(f"{layers.silver}.orders").withColumn("reason", F.lit("kept"))
+    lost = spark.table(f"{layers.dlq}.orders_rejected").withColumnRenamed(DLQ_REASON, "reason")
+    names = ("order_id", "order_status", "order_purchase_timestamp", "reason")
+    return _plain(kept.select(*names, "year", "month").unionByName(lost.select(*names), allowMissingColumns=True))
+
+
+@_register
+def silver_repeated_rejects(spark, sf_dir):
+    """Orders without a key come three times, with a map; a refresh of 1996 has each of them once more."""
+    layers = _layers(spark)
+    orders = standin.orders(spark, sf_dir).selectExpr(
+        "CASE WHEN order_id % 5 > 0 THEN order_id END AS order_id",
+        "map(order_status, customer_id) AS tags",
+        "order_purchase_timestamp",
+    )
+    lost = orders.where("order_id IS NULL")
+    whole = orders.unionByName(lost).unionByName(lost)
+    silver.load(spark, _bronze_orders(spark, layers, whole), layers)
+    again = orders.where("year(order_purchase_timestamp) = 1996 OR order_id IS NULL")
+    silver.load(spark, _bronze_orders(spark, layers, again), layers, mode="partitions")
+    found = spark.table(f"{layers.dlq}.orders_rejected").withColumn("year", F.year("order_purchase_timestamp"))
+    return found.groupBy("year").agg(F.count(F.lit(1)).alias("rejects"))
+
+
 @_register
 def silver_loads_reject_once(spark, sf_dir):
     """Three loads of one bronze table leave its rejects once."""
@@ -446,12 +499,16 @@ def stamps_and_guards(spark, sf_dir):
         guarded = "no"
     except ValueError:
         guarded = "yes"
-    found = stamped.agg(
-        F.count(INGESTED_AT).alias("ingested"), F.count(UPDATED_AT).alias("updated"), F.count(F.lit(1)).alias("n")
+    # Rows of the empty frame would count as rows without stamps.
+    every = stamped.withColumn("real", F.lit(True)).unionByName(empty_like(orders), allowMissingColumns=True)
+    found = every.agg(
+        F.count(INGESTED_AT).alias("ingested"),
+        F.count(UPDATED_AT).alias("updated"),
+        F.count("real").alias("n"),
+        F.count_if(F.col("real").isNull()).alias("empty"),
     )
-    empty = empty_like(orders).agg(F.count(F.lit(1)).alias("empty"))
     same = F.lit(empty_like(orders).schema == orders.schema).alias("same_columns")
-    return found.join(empty).select("*", same, F.lit(guarded).alias("guarded"))
+    return found.select("*", same, F.lit(guarded).alias("guarded"))
 
 
 # --- gold --------------------------------------------------------------------
@@ -622,17 +679,66 @@ def run_audit_latest(spark, sf_dir):
     return _plain(latest.select("layer", "table", "last_run", "rows_processed", "status"))
 
 
-def _whole_run(spark, sf_dir) -> Layers:
-    """Raw CSV files of all nine tables through all layers."""
-    root, layers = scratch_path(spark, "raw"), _layers(spark)
+def _raw_files(spark, sf_dir) -> str:
+    root = scratch_path(spark, "raw")
     for name, make in standin.TABLES.items():
         make(spark, sf_dir).write.csv(f"{root}/{name}.csv", header=True, escape='"')
+    return root
+
+
+def _whole_run(spark, sf_dir) -> Layers:
+    """Raw CSV files of all nine tables through all layers."""
+    root, layers = _raw_files(spark, sf_dir), _layers(spark)
     # The stand-in's reviews have no cells with line breaks.
     specs = retail_specs(multi_line=False)
     medallion.run(spark, root, specs, layers, first=standin.FIRST_DATE, last=standin.LAST_DATE)
     return layers
 
 
+@_register
+def incremental_run(spark, sf_dir):
+    """Two runs over growing folders of raw files: what the second one makes of both facts.
+
+    New files move orders to another month, and bring prices, payments and late reviews of old orders.
+    """
+    root, layers = _raw_files(spark, sf_dir), _layers(spark)
+    specs = retail_specs(multi_line=False)
+    days = {"first": standin.FIRST_DATE, "last": standin.LAST_DATE}
+    medallion.run(spark, root, specs, layers, **days, mode="incremental")
+    later = {
+        "orders": standin.orders(spark, sf_dir)
+        .where("order_id % 10 = 0")
+        .withColumns(
+            {
+                "order_status": F.lit("M"),
+                "order_purchase_timestamp": F.expr("order_purchase_timestamp + interval 40 days"),
+            }
+        ),
+        "order_items": standin.order_items(spark, sf_dir)
+        .where("order_id % 7 = 0")
+        .withColumn("price", F.expr("cast(price + 1 AS decimal(18,2))")),
+        "order_payments": standin.order_payments(spark, sf_dir)
+        .where("order_id % 11 = 0")
+        .withColumn("payment_value", F.expr("cast(payment_value + 1 AS decimal(18,2))")),
+        "order_reviews": standin.order_reviews(spark, sf_dir)
+        .where("review_id % 15 = 0")
+        .withColumns({"review_id": F.expr("'late-' || review_id"), "review_score": F.lit(1)}),
+    }
+    for name, rows in later.items():
+        rows.write.mode("append").csv(f"{root}/{name}.csv", header=True, escape='"')
+    medallion.run(spark, root, specs, layers, **days, mode="incremental")
+    star = gold.read_star(spark, layers)
+    sales = star.fact_order_sales.selectExpr(
+        "'sale' AS kind", "order_id", "order_item_id AS line", "price AS amount", "order_status", "year", "month",
+        "avg_review_score",
+    )
+    paid = star.fact_order_payments.selectExpr(
+        "'payment' AS kind", "order_id", "payment_sequential AS line", "payment_value AS amount", "order_status",
+        "year", "month", "cast(NULL AS double) AS avg_review_score",
+    )
+    return _plain(sales.unionByName(paid).withColumn("order_id", F.col("order_id").cast("bigint")))
+
+
 @_register
 def medallion_audit(spark, sf_dir):
     """The run records of each table of a whole run."""
