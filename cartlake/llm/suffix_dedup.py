@@ -30,9 +30,10 @@ GRAM = 16
 SPAN = 128
 # Pieces of one core that a task merges; beyond that they are cut into single strings.
 CORE_PIECES = 512
-# Bytes of pieces that a task merges at once, and of each shard of them.
-MERGE_BYTES = 2 << 20
-SHARD_BYTES = 1 << 19
+# Bytes of pieces that a task merges at once, and of each shard of them. A task takes some 150 bytes of
+# memory per byte of pieces: 80 MB, and 40 more where the last core is crowded.
+MERGE_BYTES = 1 << 19
+SHARD_BYTES = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
