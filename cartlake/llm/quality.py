@@ -28,14 +28,20 @@ MIN_TAIL = 0.5
 MIN_ROWS = 3
 MIN_Z = 4.5
 MIN_CORRELATION = 0.1
+# Ridge penalty on weights of unit spread: many words that each know a little must not outweigh the
+# few signs that know much.
+DECAY = 0.03
 _CACHE_WORDS = 1_000_000
+# Signs that words of running text seldom have.
+_SYMBOLS = frozenset("#$%&*+<=>@\\^_`|~")
 
 
 def _shape(word: str) -> str:
     letters = "".join(c for c in word if c.isalpha())
     case = "-" if not letters else "U" if letters.isupper() and len(letters) > 1 else "l"
     marks = "d" if any(c.isdigit() for c in word) else ""
-    return f"{case}{marks}{'!' if '!' in word else ''}"
+    symbols = "" if _SYMBOLS.isdisjoint(word) else "#"
+    return f"{case}{marks}{'!' if '!' in word else ''}{symbols}"
 
 
 class Features:
@@ -43,7 +49,7 @@ class Features:
 
     Words without case and outer marks, and their first four and five letters, have value 1 if the
     text has them, however long it is: one bad word in a long text is as bad as in a short one.
-    Shapes of words have the root of their share. Two more tell how far lines and words repeat.
+    Shapes of words (case, digits, exclamation marks, symbols) have the root of their share. Two more tell how far lines and words repeat.
     Words are looked up in a cache of bounded size.
     """
 
@@ -251,7 +257,7 @@ def fit_quality(
     rows = labelled.mapInArrow(_arrow_features(bits), schema).collect()
     rows.sort(key=lambda r: (r.grade, bytes(r.slots), bytes(r["values"])))
     pairs = [(r.grade, np.frombuffer(r.slots, "<i4"), np.frombuffer(r["values"], "<f4")) for r in rows]
-    return fit(pairs, bits=bits)
+    return fit(pairs, bits=bits, decay=DECAY)
 
 
 def grade_documents(

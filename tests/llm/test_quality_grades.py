@@ -64,6 +64,37 @@ def test_gradient_is_that_of_the_loss():
     assert losses == sorted(losses, reverse=True) and losses[-1] < 30
 
 
+def test_fit_is_the_least_penalised_loss():
+    """The loss is convex, so no step along one weight or threshold may lower it; stated here anew."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for _ in range(400):
+        grade = int(rnd.integers(0, 3))
+        slots = np.flatnonzero(rnd.random(6) < np.r_[0.2 + 0.3 * (grade == np.arange(3)), 0.5, 0.5, 0.5])
+        rows.append((grade, slots, 0.5 + rnd.random(len(slots))))
+    model = fit(rows, bits=3, rounds=4000, decay=0.05)
+    dense = np.zeros((len(rows), 8))
+    for i, (_, slots, values) in enumerate(rows):
+        dense[i, slots] = values
+    spread = np.sqrt((dense**2).mean(0))
+    grades = np.array([r[0] for r in rows])
+
+    def loss(weights, thresholds):
+        below = 1 / (1 + np.exp(-(thresholds[None, :] - (dense @ weights)[:, None])))
+        below = np.c_[np.zeros(len(rows)), below, np.ones(len(rows))]
+        p = np.diff(below, axis=1)[np.arange(len(rows)), grades]
+        return -np.log(p).mean() + 0.05 / 2 * ((weights * spread) ** 2).sum()
+
+    weights, thresholds = model.weights.astype(float), model.thresholds
+    least, chosen = loss(weights, thresholds), np.flatnonzero(weights)
+    assert {0, 1, 2} & set(chosen)
+    for step in (0.01, -0.01):
+        for i in chosen:
+            assert loss(weights + step * (np.arange(8) == i), thresholds) > least
+        for k in (0, 1):
+            assert loss(weights, thresholds + step * (np.arange(2) == k)) > least
+
+
 def test_held_out_documents(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     labels = spark.read.parquet(f"{LARGER}/labels.parquet")
