@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Iterable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +15,7 @@ from cartlake.functions.names import clean_names
 from cartlake.operators.columns import sanitize_columns, stamp_ingested
 from cartlake.sources.csv import read_csv_inferred, read_csv_typed, split_corrupt
 from cartlake.sources.scratch import materialize
-from cartlake.sources.tables import ensure_namespace, read_table, write_dlq, write_table
+from cartlake.sources.tables import ensure_namespace, kinds_of, read_table, widen_table, write_dlq, write_table
 from cartlake.specs import CORRUPT_RECORD, LOAD_ID, MALFORMED_RECORD, Layers, TableSpec
 
 
@@ -23,13 +24,19 @@ class Loaded(NamedTuple):
     rejected: int
 
 
-def read_raw(spark: SparkSession, spec: TableSpec, path: str | list[str]) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str | list[str],
+    known: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
     """Raw rows; with declared types unreadable records carry ``_corrupt_record``.
 
-    The timestamp column lands as text: the silver layer parses it, by the rule of the spec.
+    The timestamp column lands as text: the silver layer parses it, by the rule of the spec. Types
+    that are not declared are guessed, and no narrower than the ``known`` ones.
     """
     if spec.types is None:
-        return read_csv_inferred(spark, path, spec.multi_line)
+        return read_csv_inferred(spark, path, spec.multi_line, known)
     types = dict(spec.types)
     if spec.timestamp_column in types:
         types[spec.timestamp_column] = T.StringType()
@@ -43,6 +50,7 @@ def load(
     layers: Layers = Layers(),
     skip_loaded: bool = False,
     by_load: bool = False,
+    on_widened: Callable[[Iterable[str]], object] | None = None,
 ) -> Loaded:
     """Append the raw files of ``spec`` to its bronze table; unreadable records go to the DLQ.
 
@@ -52,6 +60,10 @@ def load(
 
     With ``by_load`` the table is made with a partition per load, ``_load_id``, so that what is new can
     be read alone. A table that exists is appended to as it was made.
+
+    Guessed types belong to the table, not to the load: a load is read with the types that the
+    table has, and a column whose new cells do not fit them is widened first, at last to text. That
+    rewrites the table, but no column can widen more than a few times. ``on_widened`` is told which.
     """
     ensure_namespace(spark, layers.bronze, layers.location)
     path: str | list[str] = f"{raw_root.rstrip('/')}/{spec.source}"
@@ -62,11 +74,17 @@ def load(
         path = [r.path for r in files.select("path").collect()]
         if not path:
             return Loaded(0, 0)
-    raw = read_raw(spark, spec, path)
     target = f"{layers.bronze}.{spec.name}"
+    have = read_table(spark, target) if spec.types is None else None
+    raw = read_raw(spark, spec, path, None if have is None else kinds_of(have))
     rejected = 0
     if spec.types is None:
-        rows = _append(stamp_ingested(sanitize_columns(raw)), target, layers, by_load)
+        landed = stamp_ingested(sanitize_columns(raw))
+        if have is not None:
+            widened = widen_table(spark, target, kinds_of(landed), layers.file_format)
+            if widened and on_widened is not None:
+                on_widened(widened)
+        rows = _append(landed, target, layers, by_load)
     else:
         seen = Observation()
         counted = raw.observe(seen, F.count(CORRUPT_RECORD).alias("corrupt"))

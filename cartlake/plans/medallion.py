@@ -7,6 +7,7 @@ import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,12 @@ class RunFailed(RuntimeError):
     """Some tables of a layer failed; the others were finished and recorded."""
 
 
+class _Landed(NamedTuple):
+    rows: int
+    rejected: int
+    widened: tuple[str, ...]
+
+
 def audit_table(layers: Layers) -> str:
     return f"{layers.ops}.run_audit"
 
@@ -57,7 +64,8 @@ def _run_layer(
                 continue
             breaches = getattr(done, "breaches", ())
             status = PARTIAL if breaches else SUCCESS
-            runs.append(Run(layer, name, done.rows, status, done.rejected, "; ".join(breaches) or None))
+            notes = [*breaches, *(f"widened {w}" for w in getattr(done, "widened", ()))]
+            runs.append(Run(layer, name, done.rows, status, done.rejected, "; ".join(notes) or None))
     record_runs(spark, audit_table(layers), runs)
     if failed:
         raise RunFailed(f"{layer}: {', '.join(sorted(failed))}")
@@ -75,7 +83,9 @@ def run_bronze(
     ensure_namespace(spark, layers.ops, layers.location)
 
     def load(spec: TableSpec):
-        return bronze.load(spark, spec, raw_root, layers, skip_loaded, by_load)
+        widened: list[str] = []
+        done = bronze.load(spark, spec, raw_root, layers, skip_loaded, by_load, widened.extend)
+        return _Landed(*done, tuple(widened))
 
     # The file log is one table, so loads that append to it run one after the other.
     _run_layer(spark, "bronze", specs, layers, load, 1 if skip_loaded else workers)

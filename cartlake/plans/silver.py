@@ -31,10 +31,12 @@ from cartlake.sources.batches import REPLACED, Batch, log_batches, read_state
 from cartlake.sources.scratch import materialize, released
 from cartlake.sources.tables import (
     ensure_namespace,
+    kinds_of,
     partition_filter,
     partitions_of,
     read_table,
     replace_partitions,
+    widen_table,
     write_dlq,
     write_table,
 )
@@ -236,6 +238,8 @@ def _replace(
     reasons = (DUPLICATE_KEY, NULL_KEY, BAD_TIMESTAMP)
     by, keep = spec.partition_by, None
     if mode == "partitions" and by and target is not None:
+        if widen_table(spark, name, kinds_of(valid), layers.file_format):
+            target = spark.table(name)
         valid = materialize(valid, "valid")[0].select(*target.columns)
         touched = partitions_of(valid, by)
         if earlier is not None:

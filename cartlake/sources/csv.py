@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartlake.functions.kinds import wider
 from cartlake.functions.names import clean_name
 from cartlake.specs import CORRUPT_RECORD
 
@@ -29,9 +30,34 @@ def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     )
 
 
-def read_csv_inferred(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
-    """Headered CSV with types guessed from the cells, at the price of one more pass."""
-    return _reader(spark, multi_line).csv(path, inferSchema=True)
+def read_csv_inferred(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    multi_line: bool = False,
+    known: Mapping[str, T.DataType] | None = None,
+) -> DataFrame:
+    """Headered CSV with types guessed from the cells, at the price of one more pass.
+
+    ``known`` has the types, by cleaned column name, of a table that the rows are to join. A
+    column is then read with the wider of the known type and the guess, straight from its
+    cells: under a known text column ``0456`` keeps its zero. A column without any value takes
+    the known type; to find that out costs a pass over columns that were guessed as text
+    and are not known as such.
+    """
+    guessed = _reader(spark, multi_line).csv(path, inferSchema=True)
+    if not known:
+        return guessed
+    text = T.StringType()
+    before = {f.name: known.get(clean_name(f.name), f.dataType) for f in guessed.schema.fields}
+    guess = {f.name: f.dataType for f in guessed.schema.fields}
+    unsure = [n for n in guess if guess[n] == text and before[n] != text]
+    if unsure:
+        some = guessed.agg(*(F.max(F.col(f"`{n}`").isNotNull()) for n in unsure)).first()
+        guess |= {n: T.NullType() for n, any_value in zip(unsure, some) if not any_value}
+    kinds = T.StructType([T.StructField(n, wider(before[n], guess[n])) for n in guess])
+    if kinds == guessed.schema:
+        return guessed
+    return _reader(spark, multi_line).schema(kinds).csv(path)
 
 
 def files_by_header(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[str, list[str]]]:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cartlake.functions.kinds import wider
 from cartlake.operators.columns import require_columns
 from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
@@ -45,7 +47,7 @@ def write_table(
     not count twice. ``overwrite`` replaces the table: the rows go to a table of another name,
     which takes the place of the old one once it is complete, so a failed write leaves the old
     rows. ``append`` adds to the table, ``partitions`` replaces only the partitions present
-    in ``df`` and adds new ones.
+    in ``df`` and adds new ones; a column that is too narrow for ``df`` is widened first.
 
     A partitioned write gathers the rows of a partition first, so tasks do not each open a
     file in every partition; the rebalance cuts large partitions into several tasks. Without
@@ -63,6 +65,7 @@ def write_table(
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     if mode == "partitions" and spark.catalog.tableExists(name):
+        widen_table(spark, name, kinds_of(df), file_format)
         with _dynamic_overwrite(spark):
             # insertInto matches columns by position.
             df.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
@@ -83,6 +86,32 @@ def write_table(
     return written.get["rows"]
 
 
+def kinds_of(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def widen_table(
+    spark: SparkSession, name: str, kinds: Mapping[str, T.DataType], file_format: str = "parquet"
+) -> list[str]:
+    """Make the columns of a table wide enough for values of ``kinds`` too; what changed, as
+    ``column: old to new``.
+
+    Files keep the type they were written with, so a change costs one rewrite of the table, which
+    replaces it once it is complete. Without a change nothing is read. Partition columns stay.
+    """
+    table = spark.table(name)
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    changed = {}
+    for f in table.schema.fields:
+        kind = f.dataType if f.name in by else wider(f.dataType, kinds.get(f.name, f.dataType))
+        if kind != f.dataType:
+            changed[f.name] = (f.dataType, kind)
+    if changed:
+        wide = table.withColumns({n: F.col(f"`{n}`").cast(to) for n, (_, to) in changed.items()})
+        write_table(wide, name, "overwrite", by, file_format=file_format)
+    return [f"{n}: {old.simpleString()} to {to.simpleString()}" for n, (old, to) in changed.items()]
+
+
 def partition_filter(partitions: Iterable[Sequence], by: Sequence[str]) -> Column:
     """Whether a row is in one of ``partitions``, values in the order of ``by``; prunes folders."""
     hits = (
@@ -191,7 +220,8 @@ def write_dlq(
     same dead letters again, not more of them. The rows of ``keep``, earlier dead letters read from
     elsewhere than the table, stay with them as they are; they are not in the number returned.
 
-    Columns the table does not have yet are added to it; columns the rows lack are NULL.
+    Columns the table does not have yet are added to it, those that are too narrow are widened;
+    columns the rows lack are NULL.
     A failure raises: rejects are not lost silently. Without rejects no table is made;
     ``some`` says that there are rejects, which saves looking for a first one.
     """
@@ -201,6 +231,7 @@ def write_dlq(
         if not some and rejects.isEmpty():
             return 0
         return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
+    widen_table(spark, table, kinds_of(records), file_format)
     have = spark.table(table).schema
     new = [f for f in records.schema.fields if f.name not in have.names]
     if new:

@@ -178,6 +178,16 @@ def _by_calendar(fact: str, amount: str, total: str, rows: str) -> str:
 ORACLES: dict[str, str] = {
     # sources and sinks
     "csv_source_typed": f"SELECT {ORDER_COLUMNS} FROM orders",
+    "inferred_type_drift": """
+        SELECT cast(c_custkey AS bigint) AS c_custkey,
+               CASE c_custkey % 3 WHEN 0 THEN cast(c_custkey AS varchar) WHEN 1 THEN 'A' || c_custkey
+                    ELSE lpad(cast(c_custkey AS varchar), 9, '0') END AS zip,
+               CASE c_custkey % 3 WHEN 0 THEN cast(c_custkey AS double) WHEN 1 THEN c_custkey + cast(0.5 AS double) END
+                   AS "limit",
+               CASE c_custkey % 3 WHEN 0 THEN TIMESTAMP '2020-01-02 00:00:00' WHEN 1 THEN TIMESTAMP '2020-01-02 03:04:05'
+                    ELSE TIMESTAMP '2020-01-03 00:00:00' END AS since,
+               'widened zip: int to string; widened limit: int to double; widened since: date to timestamp' AS widened
+        FROM customer""",
     "csv_source_inferred": f"SELECT {ORDER_COLUMNS} FROM orders",
     "csv_corrupt_rows": """
         SELECT o_orderkey, o_orderkey || ',n/a,' || o_orderpriority AS record FROM orders WHERE o_orderstatus = 'P'""",

@@ -86,6 +86,33 @@ def _fresh_table(spark: SparkSession) -> str:
 # --- sources and sinks -------------------------------------------------------
 
 
+@_register
+def inferred_type_drift(spark, sf_dir):
+    """Three loads of a table with guessed types, whose cells fit the guesses of earlier loads less and less."""
+    root, layers = scratch_path(spark, "drift"), _layers(spark)
+    spec = TableSpec("customers", "customers.csv")
+    source = standin.table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    zips = (key, F.concat(F.lit("A"), key), F.lpad(key, 9, "0"))
+    limits = (key, F.concat(key, F.lit(".5")), F.lit(None).cast("string"))
+    since = (F.lit("2020-01-02"), F.lit("2020-01-02 03:04:05"), F.lit("2020-01-03"))
+    for turn, (zip_code, limit, day) in enumerate(zip(zips, limits, since)):
+        rows = source.where(F.col("c_custkey") % 3 == turn).select(
+            "c_custkey", zip_code.alias("zip"), limit.alias("limit"), day.alias("since")
+        )
+        rows.write.mode("append").csv(f"{root}/customers.csv", header=True)
+        medallion.run_bronze(spark, root, [spec], layers, skip_loaded=True, by_load=True)
+    landed = spark.table(f"{layers.bronze}.customers")
+    notes = load_runs(spark, medallion.audit_table(layers)).select(
+        F.array_join(F.sort_array(F.collect_list("message")), " | ").alias("widened")
+    )
+    # One row of run records, of which the driver made three.
+    landed = landed.withColumn("widened", F.lit(notes.first().widened))
+    return landed.select(
+        F.col("c_custkey").cast("bigint"), "zip", "limit", F.col("since").cast("timestamp_ntz"), "widened"
+    )
+
+
 @_register
 def csv_source_typed(spark, sf_dir):
     source = standin.table(spark, sf_dir, "orders")
