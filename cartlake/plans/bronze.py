@@ -15,7 +15,15 @@ from cartlake.functions.names import clean_names
 from cartlake.operators.columns import sanitize_columns, stamp_ingested
 from cartlake.sources.csv import read_csv_inferred, read_csv_typed, split_corrupt
 from cartlake.sources.scratch import materialize
-from cartlake.sources.tables import ensure_namespace, kinds_of, read_table, widen_table, write_dlq, write_table
+from cartlake.sources.tables import (
+    ensure_namespace,
+    kinds_of,
+    read_table,
+    recover_table,
+    widen_table,
+    write_dlq,
+    write_table,
+)
 from cartlake.specs import CORRUPT_RECORD, LOAD_ID, MALFORMED_RECORD, Layers, TableSpec
 
 
@@ -66,6 +74,7 @@ def load(
     rewrites the table, but no column can widen more than a few times. ``on_widened`` is told which.
     """
     ensure_namespace(spark, layers.bronze, layers.location)
+    recover_table(spark, f"{layers.bronze}.{spec.name}")
     path: str | list[str] = f"{raw_root.rstrip('/')}/{spec.source}"
     files = None
     if skip_loaded:

@@ -35,6 +35,7 @@ from cartlake.sources.tables import (
     partition_filter,
     partitions_of,
     read_table,
+    recover_table,
     replace_partitions,
     widen_table,
     write_dlq,
@@ -159,6 +160,8 @@ def load(
     if bronze is None:
         return None
     require_columns(bronze, spec.keys, spec.name)
+    for lost in (f"{layers.silver}.{spec.name}", f"{layers.dlq}.{spec.name}_rejected"):
+        recover_table(spark, lost)
     loads: list[str] = []
     prepared = None
     if LOAD_ID in bronze.columns:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from collections.abc import Iterable, Iterator, Mapping, Sequence
@@ -21,6 +22,9 @@ MODES = ("append", "overwrite", "partitions")
 # The scope of an overwrite is a setting of the session, which writers in other threads share.
 _SCOPE = threading.Lock()
 
+# End of the name of a table that is written to take the place of another.
+_NEW = "__new"
+
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}/{namespace}'" if location else ""
@@ -46,7 +50,8 @@ def write_table(
     The rows are counted by the write itself, in its last stage, where a re-run task does
     not count twice. ``overwrite`` replaces the table: the rows go to a table of another name,
     which takes the place of the old one once it is complete, so a failed write leaves the old
-    rows. ``append`` adds to the table, ``partitions`` replaces only the partitions present
+    rows. A driver that is lost in between leaves both, and the next write of the table first
+    brings one of them into its place (``recover_table``). A table has one writer at a time. ``append`` adds to the table, ``partitions`` replaces only the partitions present
     in ``df`` and adds new ones; a column that is too narrow for ``df`` is widened first.
 
     A partitioned write gathers the rows of a partition first, so tasks do not each open a
@@ -64,6 +69,7 @@ def write_table(
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    recover_table(spark, name)
     if mode == "partitions" and spark.catalog.tableExists(name):
         widen_table(spark, name, kinds_of(df), file_format)
         with _dynamic_overwrite(spark):
@@ -71,7 +77,7 @@ def write_table(
             df.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
     else:
         replace = mode != "append" and spark.catalog.tableExists(name)
-        target = f"{name}__{uuid.uuid4().hex}" if replace else name
+        target = f"{name}__{uuid.uuid4().hex}{_NEW}" if replace else name
         writer = df.write.format(file_format).mode("append" if mode == "append" else "errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -156,29 +162,59 @@ def swap_tables(spark: SparkSession, new: str, name: str) -> None:
     if exists(new):
         if exists(name):
             drop_table(spark, old)
-            _rename(spark, name, old)
-        _rename(spark, new, name)
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        if exists(old):
+            # Its partitions may still have the places that those of the new table are about to take.
+            _repair(spark, old, "DROP")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    _repair(spark, name, "SYNC")
     drop_table(spark, old)
 
 
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Finish or undo a replacement of ``name`` whose writer was lost.
+
+    A table that stood ready when the old one had been moved away takes its place; one that may be
+    incomplete is dropped. Only the writer of a table may call this, before it looks at the table.
+    """
+    space, _, base = name.rpartition(".")
+    if space and not spark.catalog.databaseExists(space):
+        return
+    mine = re.compile(re.escape(base) + rf"__[0-9a-f]{{32}}{_NEW}(__old)?", re.IGNORECASE)
+    within = f" IN {space}" if space else ""
+    shown = spark.sql(f"SHOW TABLES{within} LIKE '{base}__*{_NEW}*'").collect()
+    left = {r.tableName for r in shown if mine.fullmatch(r.tableName)}
+    for new in sorted({t.removesuffix("__old") for t in left}):
+        full = f"{space}.{new}" if space else new
+        if f"{new}__old" in left:
+            _finish(spark, full, name)
+        else:
+            drop_table(spark, full)
+
+
+def _finish(spark: SparkSession, new: str, name: str) -> None:
+    """The table ``name`` again, after a swap that has already moved the old one away."""
+    if not spark.catalog.tableExists(name) and not spark.catalog.tableExists(new):
+        spark.sql(f"ALTER TABLE {new}__old RENAME TO {name}")
+    swap_tables(spark, new, name)
+
+
 def _swap(spark: SparkSession, new: str, name: str) -> None:
-    """Put the table ``new`` in the place of ``name``; the old one goes only after that."""
-    old = f"{name}__{uuid.uuid4().hex}"
-    _rename(spark, name, old)
+    """Put the table ``new`` in the place of ``name``; after an error the old one is there again."""
     try:
-        _rename(spark, new, name)
+        swap_tables(spark, new, name)
     except Exception:
-        _rename(spark, old, name)
+        old = f"{new}__old"
+        if spark.catalog.tableExists(old) and not spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            _repair(spark, name, "SYNC")
         raise
-    spark.sql(f"DROP TABLE {old}")
 
 
-def _rename(spark: SparkSession, name: str, to: str) -> None:
-    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
-    if any(c.isPartition for c in spark.catalog.listColumns(to)):
-        # Not every catalog moves the places of partitions along with their table.
-        spark.sql(f"MSCK REPAIR TABLE {to} DROP PARTITIONS")
-        spark.sql(f"MSCK REPAIR TABLE {to} ADD PARTITIONS")
+def _repair(spark: SparkSession, name: str, what: str) -> None:
+    """Not every catalog moves the places of partitions along with their table."""
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name} {what} PARTITIONS")
 
 
 @contextmanager
@@ -227,6 +263,7 @@ def write_dlq(
     """
     spark = rejects.sparkSession
     records = dlq_records(rejects, reason, stamp)
+    recover_table(spark, table)
     if not spark.catalog.tableExists(table):
         if not some and rejects.isEmpty():
             return 0

@@ -1,0 +1,116 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from cartlake.plans import bronze
+from cartlake.sources import tables
+from cartlake.sources.tables import recover_table, widen_table, write_dlq, write_table
+from cartlake.specs import TableSpec
+
+STEPS = ("ALTER TABLE", "MSCK REPAIR", "DROP TABLE")
+# No table has the name then.
+AFTER_FIRST_RENAME = 3
+
+
+class Lost(BaseException):
+    """The driver is gone: no handler of errors runs."""
+
+
+def _lose(monkeypatch, spark, step, error=Lost):
+    """Raise at the ``step``-th statement that moves tables, just before or just after it."""
+    run, count = spark.sql, iter(range(1000))
+
+    def sql(text, *more, **named):
+        if not text.startswith(STEPS):
+            return run(text, *more, **named)
+        at = next(count)
+        if at == step // 2 and step % 2 == 0:
+            raise error(text)
+        out = run(text, *more, **named)
+        if at == step // 2:
+            raise error(text)
+        return out
+
+    monkeypatch.setattr(spark, "sql", sql)
+
+
+def _names(spark, layers):
+    return [r.tableName for r in spark.sql(f"SHOW TABLES IN {layers.silver}").collect()]
+
+
+@pytest.mark.parametrize("by", [(), ("p",)])
+def test_a_writer_lost_at_any_step(spark, layers, monkeypatch, by):
+    name = f"{layers.silver}.t"
+    before = spark.range(6).selectExpr("id", "id % 3 AS p")
+    after = spark.range(10, 14).selectExpr("id", "id % 2 AS p")
+    for step in range(20):
+        write_table(before, name, partition_by=by)
+        with monkeypatch.context() as patch:
+            _lose(patch, spark, step)
+            try:
+                write_table(after, name, partition_by=by)
+            except Lost:
+                pass
+            else:
+                break
+        recover_table(spark, name)
+        spark.catalog.refreshTable(name)
+        assert rows(spark.table(name)) in (rows(before), rows(after)), step
+        assert _names(spark, layers) == ["t"]
+        recover_table(spark, name)
+        # The table takes rows as ever.
+        write_table(spark.range(1).selectExpr("id + 90 AS id", "7L AS p"), name, "append", by)
+        assert spark.table(name).where("id = 90").count() == 1
+    # Before and after each of two drops and two renames, with partitions also of two repairs.
+    assert step == (12 if by else 8)
+
+
+def test_an_error_leaves_the_old_rows(spark, layers, monkeypatch):
+    name = f"{layers.silver}.t"
+    before = spark.range(6).selectExpr("id", "id % 3 AS p")
+    for step in (0, 2, 4):
+        write_table(before, name, partition_by=("p",))
+        with monkeypatch.context() as patch:
+            _lose(patch, spark, step, RuntimeError)
+            with pytest.raises(RuntimeError):
+                write_table(spark.range(3).selectExpr("id", "9L AS p"), name, partition_by=("p",))
+        assert rows(spark.table(name)) == rows(before)
+    write_table(before.where("p = 1"), name, partition_by=("p",))
+    assert rows(spark.table(name)) == rows(before.where("p = 1")) and _names(spark, layers) == ["t"]
+
+
+def test_other_tables_are_left_alone(spark, layers):
+    kept = ["t", "t__x__new", f"t__{'a' * 32}", f"tt__{'a' * 32}__new"]
+    for n in kept:
+        write_table(spark.range(1), f"{layers.silver}.{n}")
+    write_table(spark.range(2), f"{layers.silver}.t__{'b' * 32}__new")
+    recover_table(spark, f"{layers.silver}.t")
+    assert sorted(_names(spark, layers)) == sorted(kept)
+    recover_table(spark, "no_such_namespace.t")
+
+
+def test_bronze_survives_a_lost_widening(spark, layers, tmp_path, monkeypatch):
+    """The rows of earlier loads are back before the next one, with or without new files."""
+    spec = TableSpec("t", "t*.csv")
+    (tmp_path / "t1.csv").write_text("id,zip\n1,12\n")
+    bronze.load(spark, spec, str(tmp_path), layers, skip_loaded=True, by_load=True)
+    (tmp_path / "t2.csv").write_text("id,zip\n2,A1\n")
+    with monkeypatch.context() as patch:
+        _lose(patch, spark, AFTER_FIRST_RENAME)
+        with pytest.raises(Lost):
+            bronze.load(spark, spec, str(tmp_path), layers, skip_loaded=True, by_load=True)
+    assert not spark.catalog.tableExists(f"{layers.bronze}.t")
+    assert bronze.load(spark, spec, str(tmp_path), layers, skip_loaded=True, by_load=True).rows == 1
+    assert rows(spark.table(f"{layers.bronze}.t"), "id", "zip") == [(1, "12"), (2, "A1")]
+
+
+def test_dead_letters_survive(spark, layers, monkeypatch):
+    name = f"{layers.silver}.t"
+    write_dlq(spark.createDataFrame([(1,)], "a int"), name, "r")
+    with monkeypatch.context() as patch:
+        _lose(patch, spark, AFTER_FIRST_RENAME)
+        with pytest.raises(Lost):
+            widen_table(spark, name, tables.kinds_of(spark.createDataFrame([("x",)], "a string")))
+    assert not spark.catalog.tableExists(name)
+    write_dlq(spark.createDataFrame([("x",)], "a string"), name, "r")
+    assert rows(spark.table(name).select(F.col("a"))) == [("1",), ("x",)]
