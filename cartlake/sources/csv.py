@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -139,7 +140,9 @@ def read_csv_typed(
 
 
 def _named(header: str) -> set[str]:
-    return {clean_name(n.strip().strip('"')) for n in header.split(",")}
+    """Cleaned column names of a header line; quoted names may hold commas and doubled quotes."""
+    names = next(csv.reader([header], skipinitialspace=True), [])
+    return {clean_name(n.strip()) for n in names}
 
 
 def _require(declared: set[str], present: set[str], path: object) -> None:

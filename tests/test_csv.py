@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
+from cartlake.functions.names import clean_name
 from cartlake.sources.csv import (
     RawFilesError,
     raw_line_audit,
@@ -125,6 +126,20 @@ def test_files_with_other_column_orders(spark, tmp_path):
         read_csv_typed(spark, str(tmp_path), {"id": T.IntegerType()}).collect()
 
 
+def test_column_orders_with_quoted_names(spark, tmp_path):
+    """Names with commas, doubled quotes and a byte order mark keep their declared types."""
+    put(tmp_path, "a.csv", '\ufeffid,"net, total"\n1,7\n')
+    put(tmp_path, "b.csv", '"net, total","a ""b""",id\n8,5,2\n')
+    types = {"id": T.IntegerType(), "net_total": T.IntegerType(), "a_b": T.IntegerType()}
+    found, bad = split_corrupt(read_csv_typed(spark, str(tmp_path), types, mixed_headers=True))
+    assert bad.count() == 0
+    named = {clean_name(c): c for c in found.columns}
+    assert set(named) == {"id", "net_total", "a_b"}
+    picked = found.select(*(found[f"`{named[n]}`"].alias(n) for n in types))
+    assert picked.dtypes == [("id", "int"), ("net_total", "int"), ("a_b", "int")]
+    assert rows(picked) == [(1, 7, None), (2, 8, 5)]
+
+
 def test_decimals_that_do_not_fit(spark, tmp_path):
     path = put(tmp_path, "a.csv", "zip,price\n1,1.005\n2,2.349\n3,2.30\n4,7\n5,2.3400\n")
     good, bad = split_corrupt(read_csv_typed(spark, path, {"price": MONEY}))
