@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from cartlake.llm.hnsw import Graph
-from cartlake.llm.vector_dedup import near_vectors, neighbours, unit
+from cartlake.llm.vector_dedup import audited, near_vectors, neighbours, unit
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, node int, vector string"
 
@@ -103,3 +103,39 @@ def test_graph_of_one_and_of_equal_vectors():
     assert [f.tolist() for f in neighbours(Graph.build(one), one, one, 0.9)] == [[0]]
     many = unit(np.ones((300, 4)))
     assert all(len(f) == 300 for f in neighbours(Graph.build(many), many, many[:3], 0.9))
+
+
+def test_audit_sees_rare_partners_and_leaves_rows_themselves_out():
+    rng = np.random.default_rng(4)
+    shard = unit(rng.normal(size=(4000, 32)))
+    # One row in fifty has a copy that is a little off.
+    for i in range(0, 2000, 50):
+        shard[i + 2000] = unit(shard[i : i + 1] + rng.normal(size=(1, 32)) * 0.01)[0]
+    seen = audited(shard, shard, np.arange(4000), 0.93)
+    assert seen and all(i not in partners for i, partners in seen)
+    for i, partners in seen:
+        near = np.flatnonzero(shard @ shard[i] >= 0.93)
+        assert partners.tolist() == [j for j in near if j != i]
+    # Rows of another shard have no place in this one.
+    assert [i for i, _ in audited(shard, shard[:100], np.full(100, -1), 0.93)] == list(range(100))
+    lonely = unit(rng.normal(size=(300, 32)))
+    assert audited(lonely, lonely, np.arange(300), 0.93) == []
+
+
+def test_a_graph_that_loses_rare_links_is_asked_with_wider_beams():
+    rng = np.random.default_rng(5)
+    # A crowd of copies, and pairs that only the audit by query notices.
+    crowd = unit(np.ones((1, 16)) + rng.normal(size=(300, 16)) * 0.01)
+    pairs = unit(rng.normal(size=(100, 16)))
+    shard = np.concatenate([crowd, pairs, unit(pairs + rng.normal(size=pairs.shape) * 0.01)])
+
+    class Partial:
+        """Finds the crowd at any beam, and others from 128 on."""
+
+        def within(self, query, least, width):
+            found = np.flatnonzero(shard @ query >= least)
+            return found if width >= 128 else found[found < 300]
+
+    found = neighbours(Partial(), shard, shard, 0.93, np.arange(len(shard)))
+    for i, partners in enumerate(found):
+        assert sorted(partners) == np.flatnonzero(shard @ shard[i].astype(np.float32) >= 0.93).tolist()
