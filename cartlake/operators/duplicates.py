@@ -15,14 +15,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlake.operators.columns import empty_like, require_columns
-from cartlake.operators.joins import KEY_HASH, SLICE_ROWS, hashable, slices_of, spread_join
+from cartlake.operators.joins import (
+    KEY_HASH,
+    SLICE_ROWS,
+    dealt,
+    hashable,
+    shuffle_partitions,
+    slices_of,
+    split_heavy,
+    spread_join,
+)
 from cartlake.operators.nulls import any_null
 from cartlake.sources.scratch import materialize
 from cartlake.specs import INGESTED_AT
 
 # Copies of one row written by a single task.
 COPIES_PER_TASK = 100_000
-_N, _KEPT = "__n", "__kept"
+# Keys to pick, from which on all rows are ranked instead: the list is too large for a broadcast.
+MANY_KEYS = 200_000
+_N, _KEPT, _RANK = "__n", "__kept", "__rank"
 
 
 def _order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -60,10 +71,32 @@ def survivors(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``rank = 1`` lets Spark keep one row per key and task before the shuffle, so a
     key with very many rows costs one row per input split.
     """
+    return df.withColumn(_RANK, _rank(df, keys)).where(F.col(_RANK) == 1).drop(_RANK)
+
+
+def _rank(df: DataFrame, keys: Sequence[str]) -> Column:
     # With no column besides the keys all rows of a key are the same.
     order = _order(df, keys) or [F.lit(0).asc()]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+
+
+def ranked_split(
+    df: DataFrame, keys: Sequence[str], rows: int, heavy: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(valid, rejected)``: the first row of each key, and every other one, by a single shuffle of ``df``.
+
+    ``rows`` says how many there are at most, so that a task gets a bounded share of them. A key's rows are
+    in one task; those of ``heavy`` keys are split by ``survivors`` and ``surplus_rows`` instead.
+    """
+    hot, light = split_heavy(df, keys, heavy)
+    ranked = dealt(light, keys, rows).withColumn(_RANK, _rank(df, keys))
+    ranked, _ = materialize(ranked, "ranked-rows")
+    first = F.col(_RANK) == 1
+    valid, rejected = ranked.where(first).drop(_RANK), ranked.where(~first).drop(_RANK)
+    if hot is not None:
+        kept, surplus = split_duplicates(hot, keys)
+        valid, rejected = valid.unionByName(kept), rejected.unionByName(surplus)
+    return valid, rejected
 
 
 def surplus_rows(df: DataFrame, kept: DataFrame, distinct: bool = False) -> DataFrame:
@@ -94,9 +127,12 @@ def remaining_rows(df: DataFrame, taken: DataFrame, stamp: str) -> DataFrame:
     rest = [c for c in df.columns if c not in same]
     one = F.lit(1).cast("bigint")
     theirs = taken.select(*same).withColumn(_N, -one)
+    # Equal rows are counted before the least stamp is looked for, which no hash aggregate does.
     counted = (
         df.withColumn(_N, one)
         .unionByName(theirs, allowMissingColumns=True)
+        .groupBy(*same, *rest)
+        .agg(F.sum(_N).alias(_N))
         .groupBy(*same)
         .agg(F.sum(_N).alias(_N), F.min_by(F.struct(*rest), stamp).alias("__rest"))
     )
@@ -117,17 +153,13 @@ def repeat_rows(counted: DataFrame) -> DataFrame:
     portions = (
         surplus.withColumn("__portion", portion)
         .withColumn(_N, F.least(F.lit(COPIES_PER_TASK), F.col(_N) - F.col("__portion") * COPIES_PER_TASK))
-        .repartition(_shuffle_partitions(counted), "__portion", *hashable(counted.drop(_N)))
+        .repartition(shuffle_partitions(counted), "__portion", *hashable(counted.drop(_N)))
         .drop("__portion")
     )
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_N)))
     return portions.withColumn(_N, copies).select(*cols)
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 @dataclass(frozen=True)
 class KeyProfile:
     """What one pass over the key columns says about a table."""
@@ -141,6 +173,7 @@ class KeyProfile:
     surplus: int
     # Keys with more rows than a task may take, for ``spread_join``; None without any.
     heavy: DataFrame | None = None
+    n_touched: int = 0
 
     @property
     def repeated(self) -> DataFrame:
@@ -167,6 +200,7 @@ def profile_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROW
         "n_heavy": F.count_if(F.col("n_rows") > slice_rows),
     }
     keep = (F.col("n_rows") > 1) | any_null(keys)
+    seen["n_touched"] = F.count_if(keep)
     touched, stats = materialize(counts, "repeated-keys", seen, keep=keep)
     heavy = None
     if stats["n_heavy"]:
@@ -174,15 +208,26 @@ def profile_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROW
             F.xxhash64(*keys).alias(KEY_HASH), slices_of("n_rows", slice_rows)
         )
     return KeyProfile(
-        stats["rows"] or 0, stats["null_key_rows"] or 0, touched, stats["n_repeated"] or 0, stats["surplus"] or 0, heavy
+        stats["rows"] or 0,
+        stats["null_key_rows"] or 0,
+        touched,
+        stats["n_repeated"] or 0,
+        stats["surplus"] or 0,
+        heavy,
+        stats["n_touched"] or 0,
     )
 
 
-def pick_touched(df: DataFrame, keys: Sequence[str], profile: KeyProfile) -> tuple[DataFrame, DataFrame]:
+def pick_touched(
+    df: DataFrame, keys: Sequence[str], profile: KeyProfile
+) -> tuple[DataFrame, DataFrame | None]:
     """``(touched, untouched)``: rows of keys that repeat or have a NULL, written out, and the others.
 
-    That is one scan for either part, however the touched rows are split afterwards.
+    That is one scan for either part, however the touched rows are split afterwards. Where the keys are
+    many, picking them would shuffle all rows twice: then all rows are touched.
     """
+    if profile.n_touched > MANY_KEYS:
+        return df, None
     marks = profile.touched.select(*keys)
     touched = spread_join(df, marks, keys, "left_semi", profile.heavy, null_safe=True)
     untouched = spread_join(df, marks, keys, "left_anti", profile.heavy, null_safe=True)
@@ -213,7 +258,10 @@ def split_duplicates(
         if not profile.n_repeated:
             return df, empty_like(df)
         touched, untouched = pick_touched(df, keys, profile)
-        valid, rejected = split_duplicates(touched, keys, rejects)
-        return untouched.unionByName(valid), rejected
+        if rejects == "copies":
+            valid, rejected = ranked_split(touched, keys, profile.rows, profile.heavy)
+        else:
+            valid, rejected = split_duplicates(touched, keys, rejects)
+        return valid if untouched is None else untouched.unionByName(valid), rejected
     kept, _ = materialize(survivors(df, keys), "survivors")
     return kept, surplus_rows(df, kept, rejects == "set")

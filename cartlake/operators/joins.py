@@ -17,6 +17,8 @@ from cartlake.sources.scratch import materialize
 
 # Rows of one key that a single task may take.
 SLICE_ROWS = 1_000_000
+# Rows that a task sorts, where their number is known.
+TASK_ROWS = 500_000
 
 KEY_HASH, _SLICE, _SLICES = "__key_hash", "__slice", "__slices"
 
@@ -25,6 +27,30 @@ def slices_of(rows: str, slice_rows: int) -> Column:
     return F.ceil(F.col(rows) / slice_rows).cast("int").alias(_SLICES)
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dealt(df: DataFrame, on: Sequence[str], rows: int) -> DataFrame:
+    """``df`` dealt by ``on`` for an operation that needs it so, if the usual number of tasks would get too many rows.
+
+    What a task sorts then stays the same however large the table is, and is not spilled.
+    """
+    tasks = -(-rows // TASK_ROWS)
+    return df.repartition(tasks, *on) if tasks > shuffle_partitions(df) else df
+
+
+def split_heavy(
+    df: DataFrame, on: Sequence[str], heavy: DataFrame | None
+) -> tuple[DataFrame | None, DataFrame]:
+    """``(hot, light)``: rows of ``heavy`` keys, None without such keys, and the others."""
+    if heavy is None:
+        return None, df
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*on))
+    hot, light = (hashed.join(heavy.select(KEY_HASH), KEY_HASH, how) for how in ("left_semi", "left_anti"))
+    return hot.drop(KEY_HASH), light.drop(KEY_HASH)
+
+
 def heavy_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame | None:
     """All keys of ``df`` with more than ``slice_rows`` rows, by hash, with their number of slices.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -21,6 +22,7 @@ from cartlake.operators.duplicates import (
     KeyProfile,
     pick_touched,
     profile_keys,
+    ranked_split,
     remaining_rows,
     split_duplicates,
 )
@@ -83,9 +85,9 @@ def cleanse(df: DataFrame, spec: TableSpec, profile: KeyProfile | None = None) -
         touched, untouched = (df, None) if profile is None else pick_touched(df, spec.keys, profile)
         if spec.null_keys_first:
             whole, nulls = split_nulls(touched, spec.keys)
-            valid, copies = split_duplicates(whole, spec.keys)
+            valid, copies = _split(whole, spec.keys, profile)
         else:
-            kept, copies = split_duplicates(touched, spec.keys)
+            kept, copies = _split(touched, spec.keys, profile)
             valid, nulls = split_nulls(kept, spec.keys)
         if profile is None or profile.n_repeated:
             rejects.append(copies.withColumn(DLQ_REASON, F.lit(DUPLICATE_KEY)))
@@ -104,6 +106,10 @@ def cleanse(df: DataFrame, spec: TableSpec, profile: KeyProfile | None = None) -
     return Cleansed(stamp_updated(valid), reduce(DataFrame.unionByName, rejects) if rejects else None)
 
 
+def _split(df: DataFrame, keys: Sequence[str], profile: KeyProfile | None) -> tuple[DataFrame, DataFrame]:
+    return split_duplicates(df, keys) if profile is None else ranked_split(df, keys, profile.rows, profile.heavy)
+
+
 def _untouched_rejects(
     earlier: DataFrame, touched: set[tuple], rejects: DataFrame, spec: TableSpec
 ) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
-from cartlake.operators import duplicates
+from cartlake.operators import duplicates, joins
 from cartlake.operators.duplicates import profile_keys, split_duplicates, survivors
 from cartlake.specs import INGESTED_AT
 
@@ -175,3 +175,31 @@ def test_profile_counts_null_keys(spark):
     assert (single.n_repeated, rows(single.touched)) == (0, [(None, 1)])
     empty = profile_keys(df.where("false"), ["k"])
     assert (empty.rows, empty.n_repeated, empty.duplicate_ratio) == (0, 0, 0.0)
+
+
+@pytest.mark.parametrize("many", [0, 100])
+def test_profiled_split_ranks_rows_in_bounded_tasks(spark, monkeypatch, many):
+    """One shuffle deals all rows of the table, or of few repeated keys; heavy keys go their own way."""
+    monkeypatch.setattr(duplicates, "MANY_KEYS", many)
+    monkeypatch.setattr(joins, "TASK_ROWS", 50)
+    data = [(i % 400, i) for i in range(900)] + [(7, 1)] * 60 + [(None, v) for v in range(4)]
+    kept, rejected = brute_force(data)
+    df = spark.createDataFrame(data, "k int, v int").repartition(5)
+    profile = profile_keys(df, ["k"], slice_rows=50)
+    assert profile.n_touched == 401 and rows(profile.heavy, "__slices") == [(2,)]
+    valid, rejects = split_duplicates(df, ["k"], profile=profile)
+    assert rows(valid) == kept and rows(rejects) == rejected
+    plain = profile_keys(df.where("k <> 7"), ["k"])
+    valid, rejects = split_duplicates(df.where("k <> 7"), ["k"], profile=plain)
+    assert "Exchange" not in final_plan(rejects)
+    dealt = joins.dealt(df, ["k"], 964)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert joins.dealt(df, ["k"], 100).rdd.getNumPartitions() == 5
+
+
+def test_heavy_rows_are_split_off(spark):
+    df = spark.createDataFrame([(1, 1)] * 30 + [(None, 2)] * 25 + [(2, 3)] * 5, "k int, v int")
+    hot, light = joins.split_heavy(df, ["k"], profile_keys(df, ["k"], slice_rows=20).heavy)
+    assert (rows(hot.distinct()), hot.count()) == ([(1, 1), (None, 2)], 55)
+    assert (rows(light.distinct()), light.count()) == ([(2, 3)], 5)
+    assert joins.split_heavy(df, ["k"], None) == (None, df)
