@@ -105,7 +105,9 @@ def load(
             bad = split_corrupt(raw)[1]
             bad = bad.toDF(*clean_names(bad.columns[:-1]), CORRUPT_RECORD)
             dlq = f"{layers.dlq}.{spec.name}_rejected"
-            rejected = write_dlq(bad, dlq, MALFORMED_RECORD, some=True, file_format=layers.file_format)
+            rejected = write_dlq(
+                bad, dlq, MALFORMED_RECORD, some=True, file_format=layers.file_format, rows=seen.get["corrupt"]
+            )
     if files is not None:
         files.write.mode("append").saveAsTable(_file_log(layers))
     return Loaded(rows, rejected)

@@ -267,5 +267,10 @@ def _replace(
     if rejects is not None:
         ensure_namespace(spark, layers.dlq, layers.location)
         some = profile is not None and bool(profile.n_repeated or profile.null_key_rows)
-        rejected = write_dlq(rejects, dlq, some=some, file_format=layers.file_format, replace=reasons, keep=keep)
+        most = None
+        if profile is not None:
+            most = profile.rows if spec.bad_timestamps == "reject" else profile.surplus + profile.null_key_rows
+        rejected = write_dlq(
+            rejects, dlq, some=some, file_format=layers.file_format, replace=reasons, keep=keep, rows=most
+        )
     return Loaded(rows, rejected, tuple(breaches))

@@ -168,4 +168,4 @@ def _apply_rejects(spark: SparkSession, spec: TableSpec, layers: Layers, rejects
             return there
         if there:
             write_table(have.where(~mine), dlq, partition_by=(DLQ_REASON,), file_format=layers.file_format)
-    return write_dlq(rejects, dlq, some=True, file_format=layers.file_format, stamp=False)
+    return write_dlq(rejects, dlq, some=True, file_format=layers.file_format, stamp=False, rows=stamps[1])

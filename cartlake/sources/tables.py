@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from cartlake.functions.kinds import wider
 from cartlake.operators.columns import require_columns
+from cartlake.operators.joins import TASK_ROWS, hashable
 from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
 MODES = ("append", "overwrite", "partitions")
@@ -44,6 +45,7 @@ def write_table(
     sort_by: Sequence[str] = (),
     file_format: str = "parquet",
     gather: bool = True,
+    rows: int | None = None,
 ) -> int:
     """Write ``df`` to the table ``name`` and return the number of rows written.
 
@@ -56,7 +58,9 @@ def write_table(
 
     A partitioned write gathers the rows of a partition first, so tasks do not each open a
     file in every partition; the rebalance cuts large partitions into several tasks. Without
-    ``gather``, for rows that all go to one partition, they are written where they are.
+    ``gather``, for rows that all go to one partition, they are written where they are. The rebalance
+    goes by shuffled bytes, which say little of copies; where ``rows`` tells how many there are at
+    most, and it is more than a task may sort, they are dealt to tasks by their number.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -64,7 +68,13 @@ def write_table(
     if partition_by:
         require_columns(df, partition_by)
     if partition_by and gather:
-        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
+        by = [F.col(c) for c in partition_by]
+        if rows is not None and rows > TASK_ROWS:
+            # The partition id tells identical rows of different tasks apart, and is the same in a re-run.
+            place = F.xxhash64(F.spark_partition_id(), *hashable(df))
+            df = df.withColumn("__place", place).repartition(-(-rows // TASK_ROWS), *by, "__place").drop("__place")
+        else:
+            df = df.hint("rebalance", *by)
     written = Observation()
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if partition_by or sort_by:
@@ -248,6 +258,7 @@ def write_dlq(
     replace: Sequence[str] = (),
     keep: DataFrame | None = None,
     stamp: bool = True,
+    rows: int | None = None,
 ) -> int:
     """Append rejected rows to the dead-letter table and return their number.
 
@@ -259,7 +270,7 @@ def write_dlq(
     Columns the table does not have yet are added to it, those that are too narrow are widened;
     columns the rows lack are NULL.
     A failure raises: rejects are not lost silently. Without rejects no table is made;
-    ``some`` says that there are rejects, which saves looking for a first one.
+    ``some`` says that there are rejects, which saves looking for a first one; ``rows``, how many at most.
     """
     spark = rejects.sparkSession
     records = dlq_records(rejects, reason, stamp)
@@ -267,7 +278,7 @@ def write_dlq(
     if not spark.catalog.tableExists(table):
         if not some and rejects.isEmpty():
             return 0
-        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
+        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format, rows=rows)
     widen_table(spark, table, kinds_of(records), file_format)
     have = spark.table(table).schema
     new = [f for f in records.schema.fields if f.name not in have.names]
@@ -280,13 +291,15 @@ def write_dlq(
     ]
     records = records.select(*aligned)
     if not replace:
-        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format)
+        return write_table(records, table, "append", (DLQ_REASON,), file_format=file_format, rows=rows)
     fresh, seen = Observation(), Observation()
     records = records.observe(fresh, F.count(F.lit(1)).alias("rows"))
     if keep is not None:
         records = records.unionByName(keep, allowMissingColumns=True)
+        if rows is not None:
+            rows += keep.count()
     records = records.observe(seen, F.collect_set(DLQ_REASON).alias("reasons"))
-    write_table(records, table, "partitions", (DLQ_REASON,), file_format=file_format)
+    write_table(records, table, "partitions", (DLQ_REASON,), file_format=file_format, rows=rows)
     # Reasons that no row has any more. One row per reason meets the driver.
     known = {r[0] for r in spark.table(table).select(DLQ_REASON).distinct().collect()}
     stale = (known & set(replace)) - set(seen.get["reasons"])

@@ -8,10 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cartlake.operators.columns import between_dates, with_partition_columns
-from cartlake.sources import scratch
+from cartlake.sources import scratch, tables
 from cartlake.sources.audit import FAILED, PARTIAL, latest_runs, load_runs, record_run
 from cartlake.sources.scratch import materialize, released, scratch_root
 from cartlake.sources.tables import dlq_records, ensure_namespace, read_table, write_dlq, write_table
+from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
 
 @pytest.fixture
@@ -226,3 +227,17 @@ def test_scratch_is_released(spark):
         path = kept.inputFiles()[0].removeprefix("file:").removeprefix("//")
         assert kept.count() == 3 and os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_rejects_are_dealt_to_tasks_by_their_number(spark, layers, monkeypatch):
+    """Copies shuffle to few bytes, which put all of them into one task."""
+    monkeypatch.setattr(tables, "TASK_ROWS", 1000)
+    name = f"{layers.dlq}.t_rejected"
+    copies = spark.range(6000, numPartitions=3).select(F.lit(1).alias("k"), (F.col("id") % 40).alias("v"))
+    assert write_dlq(copies, name, "a", rows=6000) == 6000
+    each = spark.table(name).groupBy(F.input_file_name()).count().agg(F.max("count"), F.count("count")).first()
+    assert each[0] < 3000 and each[1] >= 3
+    kept = copies.withColumns({DLQ_REASON: F.lit("a"), DLQ_TIMESTAMP: F.current_timestamp()})
+    assert write_dlq(copies.limit(10), name, "a", replace=("a",), keep=kept, rows=10) == 10
+    assert spark.table(name).count() == 6010
+    assert spark.table(name).select(F.input_file_name()).distinct().count() >= 3
