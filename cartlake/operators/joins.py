@@ -32,12 +32,13 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def dealt(df: DataFrame, on: Sequence[str], rows: int) -> DataFrame:
-    """``df`` dealt by ``on`` for an operation that needs it so, if the usual number of tasks would get too many rows.
+    """``df`` dealt by ``on`` for an operation that needs it so, if ``rows`` are more than a task may sort.
 
-    What a task sorts then stays the same however large the table is, and is not spilled.
+    Adaptive execution goes by shuffled bytes, which say little of rows, and never beyond the usual number of
+    tasks. What a task sorts stays the same here however large the table is, and is not spilled.
     """
     tasks = -(-rows // TASK_ROWS)
-    return df.repartition(tasks, *on) if tasks > shuffle_partitions(df) else df
+    return df.repartition(max(tasks, shuffle_partitions(df)), *on) if tasks > 1 else df
 
 
 def split_heavy(
@@ -52,15 +53,22 @@ def split_heavy(
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame | None:
-    """All keys of ``df`` with more than ``slice_rows`` rows, by hash, with their number of slices.
+    """All keys of ``df`` with more than ``slice_rows`` rows, by hash, with their number of slices."""
+    return key_load(df, on, slice_rows)[0]
+
+
+def key_load(
+    df: DataFrame, on: Sequence[str], slice_rows: int = SLICE_ROWS
+) -> tuple[DataFrame | None, int]:
+    """``heavy_keys``, and the number of all rows.
 
     One pass over the key columns counts the rows of each key exactly, summed up before they are
     shuffled. The list is written out and never meets the driver; None if there are none.
     """
     counts = df.select(F.xxhash64(*on).alias(KEY_HASH)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n"))
     many = F.col("n") > slice_rows
-    found, seen = materialize(counts, "heavy-keys", {"n": F.count_if(many)}, keep=many)
-    return found.select(KEY_HASH, slices_of("n", slice_rows)) if seen["n"] else None
+    found, seen = materialize(counts, "heavy-keys", {"n": F.count_if(many), "rows": F.sum("n")}, keep=many)
+    return found.select(KEY_HASH, slices_of("n", slice_rows)) if seen["n"] else None, seen["rows"] or 0
 
 
 def spread_join(
@@ -70,9 +78,12 @@ def spread_join(
     how: str = "inner",
     heavy: DataFrame | None = None,
     null_safe: bool = False,
+    rows: int = 0,
 ) -> DataFrame:
     """``left.join(right, on, how)`` with the rows of ``heavy`` left keys cut into slices.
 
+    Of ``rows`` left rows, if that is known, a task gets a bounded share.
+
     ``how`` is inner, left, left_semi or left_anti. A left row goes to one slice of its
     key, a right row to all of them; ``right`` should hold few rows per key. The list of heavy
     keys is a written table, so a re-run task places every row as before; Spark broadcasts
@@ -85,6 +96,8 @@ def spread_join(
     if heavy is not None:
         left, right = _sliced(left, right, on, heavy)
         extra = [_SLICE]
+    # Both sides: a side that another join has dealt would pull the other one to its number of tasks.
+    left, right = (dealt(side, on + extra, rows) for side in (left, right))
     if not null_safe:
         return left.join(right, on + extra, how).drop(*extra)
     renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in on + extra})

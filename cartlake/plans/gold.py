@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cartlake.functions.dates import is_weekend
 from cartlake.functions.exact import exact_mean, merge_parts, sum_parts, total
 from cartlake.operators.columns import stamp_updated
-from cartlake.operators.joins import heavy_keys, spread_join
+from cartlake.operators.joins import dealt, key_load, spread_join
 from cartlake.sources.batches import BUILT, REPLACED, Batch, State, log_batches, read_state
 from cartlake.sources.scratch import delete_path, released
 from cartlake.sources.tables import ensure_namespace, partition_filter, partitions_of, replace_partitions, write_table
@@ -182,11 +182,13 @@ def review_scores(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(exact_mean(reviews, "review_score").alias("avg_review_score"))
 
 
-def fact_order_payments(orders: DataFrame, payments: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
-    """One row per payment of a known order; ``heavy`` are order ids with very many payments."""
+def fact_order_payments(
+    orders: DataFrame, payments: DataFrame, heavy: DataFrame | None = None, rows: int = 0
+) -> DataFrame:
+    """One row per payment of a known order; ``heavy`` and ``rows`` are the ``key_load`` of the payments."""
     order = orders.select(*PAID_ORDER_COLUMNS)
     rest = [c for c in payments.columns if c != "order_id"]
-    joined = spread_join(payments, order, ["order_id"], "inner", heavy)
+    joined = spread_join(payments, order, ["order_id"], "inner", heavy, rows=rows)
     return stamp_updated(joined.select(*order.columns, *rest))
 
 
@@ -195,14 +197,16 @@ def fact_order_sales(
     orders: DataFrame,
     reviews: DataFrame,
     heavy: DataFrame | None = None,
+    rows: int = 0,
 ) -> DataFrame:
-    """One row per item of a known order; ``heavy`` are order ids with very many items.
+    """One row per item of a known order; ``heavy`` and ``rows`` are the ``key_load`` of the items.
 
     Orders take their review score first: both sides have one row per order, and the items
     are then shuffled once, for a single join.
     """
-    order = orders.select(*SOLD_ORDER_COLUMNS).join(review_scores(reviews), "order_id", "left")
-    return stamp_updated(spread_join(items, order, ["order_id"], "inner", heavy))
+    sold, scores = (dealt(df, ["order_id"], rows) for df in (orders.select(*SOLD_ORDER_COLUMNS), review_scores(reviews)))
+    order = sold.join(scores, "order_id", "left")
+    return stamp_updated(spread_join(items, order, ["order_id"], "inner", heavy, rows=rows))
 
 
 # Silver tables the star is built from.
@@ -334,11 +338,11 @@ def _refresh_fact(
     orders = t["orders"].where(partition_filter(touched, FACT_PARTITIONS))
     many = "order_payments" if name == "fact_order_payments" else "order_items"
     rows = t[many].join(orders.select("order_id"), "order_id", "left_semi")
-    heavy = heavy_keys(rows, ["order_id"])
+    load = key_load(rows, ["order_id"])
     if name == "fact_order_payments":
-        fact = fact_order_payments(orders, rows, heavy)
+        fact = fact_order_payments(orders, rows, *load)
     else:
-        fact = fact_order_sales(rows, orders, t["order_reviews"], heavy)
+        fact = fact_order_sales(rows, orders, t["order_reviews"], *load)
     target = f"{layers.gold}.{name}"
     fact = fact.select(*spark.table(target).columns)
     return replace_partitions(fact, target, FACT_PARTITIONS, touched, layers.file_format)
@@ -350,9 +354,9 @@ def _build(spark, layers, names, first, last, on_written, workers, mode) -> dict
     ensure_namespace(spark, layers.gold, layers.location)
     star = Star(
         *(_dimension(spark, name, t, first, last) for name in Star._fields if name.startswith("dim_")),
-        fact_order_payments(t["orders"], t["order_payments"], heavy_keys(t["order_payments"], ["order_id"])),
+        fact_order_payments(t["orders"], t["order_payments"], *key_load(t["order_payments"], ["order_id"])),
         fact_order_sales(
-            t["order_items"], t["orders"], t["order_reviews"], heavy_keys(t["order_items"], ["order_id"])
+            t["order_items"], t["orders"], t["order_reviews"], *key_load(t["order_items"], ["order_id"])
         ),
     )
 

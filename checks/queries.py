@@ -25,7 +25,7 @@ from cartlake.operators.columns import (
     with_partition_columns,
 )
 from cartlake.operators.duplicates import profile_keys, split_duplicates
-from cartlake.operators.joins import heavy_keys
+from cartlake.operators.joins import key_load
 from cartlake.operators.nulls import split_nulls
 from cartlake.operators.quality import duplicate_ratio, null_ratios, quality_gate
 from cartlake.plans import bronze, gold, medallion, metrics, silver, views
@@ -579,14 +579,14 @@ def review_avg(spark, sf_dir):
 def fact_order_payments(spark, sf_dir):
     payments = standin.order_payments(spark, sf_dir)
     orders = standin.dated_orders(spark, sf_dir)
-    return _plain(gold.fact_order_payments(orders, payments, heavy_keys(payments, ["order_id"])))
+    return _plain(gold.fact_order_payments(orders, payments, *key_load(payments, ["order_id"])))
 
 
 @_register
 def fact_order_sales(spark, sf_dir):
     items = standin.order_items(spark, sf_dir)
     orders, reviews = standin.dated_orders(spark, sf_dir), standin.order_reviews(spark, sf_dir)
-    return _plain(gold.fact_order_sales(items, orders, reviews, heavy_keys(items, ["order_id"])))
+    return _plain(gold.fact_order_sales(items, orders, reviews, *key_load(items, ["order_id"])))
 
 
 # --- views and metrics -------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartlake.operators.columns import with_partition_columns
-from cartlake.operators.joins import heavy_keys
+from cartlake.operators.joins import key_load
 from cartlake.plans import gold
 from cartlake.sources.scratch import materialize
 
@@ -217,11 +217,11 @@ class StandInStar:
     @cached_property
     def fact_order_payments(self) -> DataFrame:
         payments = self._t("order_payments")
-        return gold.fact_order_payments(dated_orders(*self._args), payments, heavy_keys(payments, ["order_id"]))
+        return gold.fact_order_payments(dated_orders(*self._args), payments, *key_load(payments, ["order_id"]))
 
     @cached_property
     def fact_order_sales(self) -> DataFrame:
         raw = self._t("order_items")
         items = raw if self._items is None else self._items
-        heavy = heavy_keys(raw, ["order_id"])
-        return gold.fact_order_sales(items, dated_orders(*self._args), self._t("order_reviews"), heavy)
+        load = key_load(raw, ["order_id"])
+        return gold.fact_order_sales(items, dated_orders(*self._args), self._t("order_reviews"), *load)

@@ -194,7 +194,7 @@ def test_profiled_split_ranks_rows_in_bounded_tasks(spark, monkeypatch, many):
     assert "Exchange" not in final_plan(rejects)
     dealt = joins.dealt(df, ["k"], 964)
     assert dealt.rdd.getNumPartitions() == 20
-    assert joins.dealt(df, ["k"], 100).rdd.getNumPartitions() == 5
+    assert joins.dealt(df, ["k"], 50).rdd.getNumPartitions() == 5
 
 
 def test_heavy_rows_are_split_off(spark):

@@ -2,6 +2,7 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
+from cartlake.operators import joins
 from cartlake.operators.joins import heavy_keys, spread_join
 
 
@@ -91,3 +92,16 @@ def test_map_columns_are_carried_along(spark):
     right = spark.sql("SELECT 1 AS k, 2 AS w")
     joined = spread_join(left, right, ["k"], "inner", heavy_keys(left, ["k"], slice_rows=9))
     assert sorted(r.m["id"] for r in joined.collect()) == list(range(100))
+
+
+def test_tasks_of_a_join_get_a_bounded_share(spark, conf, monkeypatch):
+    """However few the session's tasks are, and however small the rows when they are shuffled."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    left = spark.range(2000).selectExpr("id div 2 AS k", "id AS v")
+    right = spark.range(900).selectExpr("id AS k", "-id AS w")
+    heavy, n = joins.key_load(left, ["k"])
+    assert (heavy, n) == (None, 2000)
+    joined = spread_join(left, right, ["k"], "inner", heavy, rows=n)
+    sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] < 200 and sizes[1] == 1800
