@@ -90,7 +90,7 @@ def ranked_split(
     """
     hot, light = split_heavy(df, keys, heavy)
     ranked = dealt(light, keys, rows).withColumn(_RANK, _rank(df, keys))
-    ranked, _ = materialize(ranked, "ranked-rows")
+    ranked, _ = materialize(ranked, "ranked-rows", small=True)
     first = F.col(_RANK) == 1
     valid, rejected = ranked.where(first).drop(_RANK), ranked.where(~first).drop(_RANK)
     if hot is not None:

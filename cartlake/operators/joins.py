@@ -63,12 +63,15 @@ def key_load(
     """``heavy_keys``, and the number of all rows.
 
     One pass over the key columns counts the rows of each key exactly, summed up before they are
-    shuffled. The list is written out and never meets the driver; None if there are none.
+    shuffled: the keys themselves, as hashes of them cannot be compressed. The list is written out and
+    never meets the driver; None if there are none.
     """
-    counts = df.select(F.xxhash64(*on).alias(KEY_HASH)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     many = F.col("n") > slice_rows
     found, seen = materialize(counts, "heavy-keys", {"n": F.count_if(many), "rows": F.sum("n")}, keep=many)
-    return found.select(KEY_HASH, slices_of("n", slice_rows)) if seen["n"] else None, seen["rows"] or 0
+    # Keys of one hash are one entry, so that no row meets two.
+    heavy = found.groupBy(F.xxhash64(*on).alias(KEY_HASH)).agg(F.sum("n").alias("n"))
+    return heavy.select(KEY_HASH, slices_of("n", slice_rows)) if seen["n"] else None, seen["rows"] or 0
 
 
 def spread_join(

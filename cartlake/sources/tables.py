@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from cartlake.functions.kinds import wider
 from cartlake.operators.columns import require_columns
 from cartlake.operators.joins import TASK_ROWS, hashable
+from cartlake.sources.scratch import PACKED
 from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
 MODES = ("append", "overwrite", "partitions")
@@ -89,6 +90,9 @@ def write_table(
         replace = mode != "append" and spark.catalog.tableExists(name)
         target = f"{name}__{uuid.uuid4().hex}{_NEW}" if replace else name
         writer = df.write.format(file_format).mode("append" if mode == "append" else "errorifexists")
+        if file_format == "parquet":
+            # Kept with the table, so later inserts take it too.
+            writer = writer.option("compression", PACKED)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         try:

@@ -53,6 +53,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ITEM_KEYS = ("order_id", "order_item_id")
+# Rows of one raw file.
+RAW_ROWS = 500_000
 
 
 def _register(query: Query) -> Query:
@@ -709,10 +711,17 @@ def run_audit_latest(spark, sf_dir):
 def _raw_files(spark, sf_dir) -> str:
     root = scratch_path(spark, "raw")
     for name, make in standin.TABLES.items():
-        make(spark, sf_dir).write.csv(f"{root}/{name}.csv", header=True, escape='"')
+        _write_raw(make(spark, sf_dir), f"{root}/{name}.csv")
     return root
 
 
+def _write_raw(rows, path) -> None:
+    """Packed files can't be split, so none has more rows than a task should read."""
+    rows.write.mode("append").option("maxRecordsPerFile", RAW_ROWS).csv(
+        path, header=True, escape='"', compression="gzip"
+    )
+
+
 def _whole_run(spark, sf_dir) -> Layers:
     """Raw CSV files of all nine tables through all layers."""
     root, layers = _raw_files(spark, sf_dir), _layers(spark)
@@ -752,7 +761,7 @@ def incremental_run(spark, sf_dir):
         .withColumns({"review_id": F.expr("'late-' || review_id"), "review_score": F.lit(1)}),
     }
     for name, rows in later.items():
-        rows.write.mode("append").csv(f"{root}/{name}.csv", header=True, escape='"')
+        _write_raw(rows, f"{root}/{name}.csv")
     medallion.run(spark, root, specs, layers, **days, mode="incremental")
     star = gold.read_star(spark, layers)
     sales = star.fact_order_sales.selectExpr(

@@ -105,3 +105,22 @@ def test_tasks_of_a_join_get_a_bounded_share(spark, conf, monkeypatch):
     joined = spread_join(left, right, ["k"], "inner", heavy, rows=n)
     sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
     assert sizes[0] < 200 and sizes[1] == 1800
+
+
+def test_key_load_moves_keys_and_not_their_hashes(spark, conf):
+    """Keys that follow each other take less room in a shuffle than hashes, and one hash is one entry."""
+    seen = []
+    real = joins.materialize
+
+    def watched(df, *args, **kwargs):
+        seen.append(df)
+        return real(df, *args, **kwargs)
+
+    joins.materialize = watched
+    try:
+        left = spark.range(2000).selectExpr("id div 2 AS k", "CASE WHEN id % 2 = 0 THEN id END AS v")
+        heavy, n = joins.key_load(left, ["k", "v"], slice_rows=0)
+    finally:
+        joins.materialize = real
+    assert n == 2000 and heavy.count() == 2000
+    assert seen[0].columns == ["k", "v", "n"]

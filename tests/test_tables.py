@@ -241,3 +241,13 @@ def test_rejects_are_dealt_to_tasks_by_their_number(spark, layers, monkeypatch):
     assert write_dlq(copies.limit(10), name, "a", replace=("a",), keep=kept, rows=10) == 10
     assert spark.table(name).count() == 6010
     assert spark.table(name).select(F.input_file_name()).distinct().count() >= 3
+
+
+def test_layer_tables_are_packed_in_all_modes(spark, layers):
+    name = f"{layers.silver}.packed"
+    for mode, first in (("overwrite", 0), ("append", 10), ("partitions", 20)):
+        rows = spark.range(first, first + 10).selectExpr("id", "id div 10 AS part")
+        write_table(rows, name, mode, ("part",))
+    files = spark.table(name).inputFiles()
+    assert len({f.rsplit("/", 2)[-2] for f in files}) == 3
+    assert all(f.endswith(".zstd.parquet") for f in files)
