@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlake.sources.batches import APPLIED, PREPARED, Batch, log_batches
-from cartlake.sources.scratch import delete_path, scratch_path
+from cartlake.sources.scratch import PACKED, delete_path, scratch_path
 from cartlake.sources.tables import (
     drop_table,
     ensure_namespace,
@@ -48,7 +48,7 @@ def _same_keys(keys: Sequence[str], other: DataFrame) -> Column:
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    df.write.parquet(path, compression=PACKED)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

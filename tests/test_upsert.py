@@ -215,3 +215,9 @@ def test_partition_mode_with_maps_and_copies(spark, layers):
     found = spark.table(f"{layers.dlq}.orders_rejected").groupBy("id", "bought").count()
     assert rows(found) == [(2, "?", 1), (None, "1996-01-01", 3)]
     assert spark.table(f"{layers.silver}.orders").count() == 2
+
+
+def test_stages_of_a_batch_are_packed(spark, tmp_path):
+    staged = upsert._stage(spark.range(10).toDF("id"), str(tmp_path / "stage"))
+    assert staged.count() == 10
+    assert all(f.endswith(".zstd.parquet") for f in staged.inputFiles())
