@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from typing import NamedTuple
@@ -27,6 +28,10 @@ from cartlake.sources.tables import (
 from cartlake.specs import CORRUPT_RECORD, LOAD_ID, MALFORMED_RECORD, Layers, TableSpec
 
 
+# Loads of several tables run side by side and append to one log.
+_ONE_WRITER = threading.Lock()
+
+
 class Loaded(NamedTuple):
     rows: int
     rejected: int
@@ -109,7 +114,8 @@ def load(
                 bad, dlq, MALFORMED_RECORD, some=True, file_format=layers.file_format, rows=seen.get["corrupt"]
             )
     if files is not None:
-        files.write.mode("append").saveAsTable(_file_log(layers))
+        with _ONE_WRITER:
+            files.write.mode("append").saveAsTable(_file_log(layers))
     return Loaded(rows, rejected)
 
 

@@ -87,8 +87,7 @@ def run_bronze(
         done = bronze.load(spark, spec, raw_root, layers, skip_loaded, by_load, widened.extend)
         return _Landed(*done, tuple(widened))
 
-    # The file log is one table, so loads that append to it run one after the other.
-    _run_layer(spark, "bronze", specs, layers, load, 1 if skip_loaded else workers)
+    _run_layer(spark, "bronze", specs, layers, load, workers)
 
 
 def run_silver(

@@ -16,8 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlake.operators.joins import TASK_ROWS, dealt, shuffle_partitions
 from cartlake.sources.batches import APPLIED, PREPARED, Batch, log_batches
-from cartlake.sources.scratch import PACKED, delete_path, scratch_path
+from cartlake.sources.scratch import PACKED, PACKING, delete_path, scratch_path
 from cartlake.sources.tables import (
     drop_table,
     ensure_namespace,
@@ -43,15 +44,27 @@ from cartlake.specs import (
 _AT = "__at"
 
 
-def _same_keys(keys: Sequence[str], other: DataFrame) -> Column:
-    return reduce(Column.__and__, (F.col(f"`{k}`") == other[f"__{k}"] for k in keys))
+def _same_keys(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, (F.col(f"`{k}`") == F.col(f"`__{k}`") for k in keys))
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path, compression=PACKED)
+    df.write.options(**PACKING).parquet(path, compression=PACKED)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _dealt(df: DataFrame, on: Sequence[str], rows: int) -> DataFrame:
+    """``df`` dealt by ``on`` if ``rows`` are more than the usual number of tasks should sort."""
+    return dealt(df, on, rows) if rows > TASK_ROWS * shuffle_partitions(df) else df
+
+
+def _any_newer(silver: DataFrame, keys: DataFrame) -> bool:
+    """Whether a row of the silver table came after one of ``keys``; reads one column of it."""
+    have = silver.select(F.col(INGESTED_AT).alias("have"), F.lit(None).cast(keys.schema[_AT].dataType).alias("new"))
+    new = keys.select(F.lit(None).cast(silver.schema[INGESTED_AT].dataType).alias("have"), F.col(_AT).alias("new"))
+    return bool(have.unionByName(new).agg(F.max("have") > F.min("new")).first()[0])
+
+
 def prepare(
     spark: SparkSession,
     spec: TableSpec,
@@ -84,17 +97,20 @@ def prepare(
         keys = keys.where(F.lit(False))
     keys = _stage(keys.toDF(*(f"__{k}" for k in spec.keys), _AT), f"{path}/keys")
     newer = F.coalesce(F.col(_AT) >= F.col(INGESTED_AT), F.lit(True))
-    displaced, late = silver.where(F.lit(False)), None
+    displaced = silver.where(F.lit(False))
+    entering, behind = valid, valid.where(F.lit(False))
+    rows = silver.count() if spec.keys else 0
     if spec.keys:
-        met = silver.join(keys, _same_keys(spec.keys, keys))
+        names = [f"__{k}" for k in spec.keys]
+        met = _dealt(silver, spec.keys, rows).join(_dealt(keys, names, rows), _same_keys(spec.keys))
         displaced = _stage(met.where(newer).select(*silver.columns), f"{path}/displaced")
         # Loads that ran side by side: what is there already may be newer.
-        late = _stage(met.where(~newer).select(*keys.columns), f"{path}/late")
-        behind = valid.join(late, _same_keys(spec.keys, late), "left_semi")
-        entering = valid.join(late, _same_keys(spec.keys, late), "left_anti")
+        if _any_newer(silver, keys):
+            late = _stage(met.where(~newer).select(*keys.columns), f"{path}/late")
+            behind = valid.join(late, _same_keys(spec.keys), "left_semi")
+            entering = valid.join(late, _same_keys(spec.keys), "left_anti")
     else:
         _stage(displaced, f"{path}/displaced")
-        entering, behind = valid, valid.where(F.lit(False))
     entering = _stage(entering, f"{path}/valid")
     # Rows of the silver table go to the dead letters as they are there, in the types of bronze.
     leaving = displaced.unionByName(behind).drop(UPDATED_AT)
@@ -111,7 +127,9 @@ def prepare(
     else:
         rest = silver
     if gone is not None:
-        rest = rest.join(gone, _same_keys(spec.keys, gone), "left_anti")
+        names = [f"__{k}" for k in spec.keys]
+        rest, gone = _dealt(rest, spec.keys, rows), _dealt(gone, names, rows)
+        rest = rest.join(gone, _same_keys(spec.keys), "left_anti")
     contents = rest.unionByName(entering)
     if spec.partition_by:
         _stage(contents, f"{path}/contents")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from cartlake.functions.kinds import wider
 from cartlake.operators.columns import require_columns
 from cartlake.operators.joins import TASK_ROWS, hashable
-from cartlake.sources.scratch import PACKED
+from cartlake.sources.scratch import PACKED, PACKING
 from cartlake.specs import DLQ_REASON, DLQ_TIMESTAMP
 
 MODES = ("append", "overwrite", "partitions")
@@ -92,7 +92,7 @@ def write_table(
         writer = df.write.format(file_format).mode("append" if mode == "append" else "errorifexists")
         if file_format == "parquet":
             # Kept with the table, so later inserts take it too.
-            writer = writer.option("compression", PACKED)
+            writer = writer.option("compression", PACKED).options(**PACKING)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         try:
@@ -153,8 +153,17 @@ def replace_partitions(
 
     Doing it again gives the same. ``df`` must not read the table.
     """
-    gone = set(partitions) - partitions_of(df, by)
-    rows = write_table(df, name, "partitions", by, file_format=file_format)
+    if all(isinstance(df.schema[c].dataType, T.IntegralType) for c in by):
+        # Seen by the write itself: to look for them would run all of ``df`` once more.
+        there = Observation()
+        parts = [F.concat(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("/")) for c in by]
+        seen = df.observe(there, F.collect_set(F.concat(*parts)).alias("partitions"))
+        rows = write_table(seen, name, "partitions", by, file_format=file_format)
+        found = set(there.get["partitions"])
+        gone = {p for p in partitions if "".join("/" if v is None else f"{v}/" for v in p) not in found}
+    else:
+        gone = set(partitions) - partitions_of(df, by)
+        rows = write_table(df, name, "partitions", by, file_format=file_format)
     have = partitions_of(df.sparkSession.table(name), by) if gone else set()
     for values in gone & have:
         named = ", ".join(f"`{c}` = {'null' if v is None else repr(v)}" for c, v in zip(by, values, strict=True))

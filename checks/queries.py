@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -710,8 +711,11 @@ def run_audit_latest(spark, sf_dir):
 
 def _raw_files(spark, sf_dir) -> str:
     root = scratch_path(spark, "raw")
-    for name, make in standin.TABLES.items():
-        _write_raw(make(spark, sf_dir), f"{root}/{name}.csv")
+    # Side by side: the smaller tables do not keep all cores busy.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        made = [pool.submit(lambda n, make: _write_raw(make(spark, sf_dir), f"{root}/{n}.csv"), *t) for t in standin.TABLES.items()]
+        for table in made:
+            table.result()
     return root
 
 
